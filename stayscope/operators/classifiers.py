@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayscope.operators.features import build_stages
 from stayscope.operators.metrics import evaluate
+from stayscope.session import shared_folder
 from stayscope.sources.contracts import METRICS
+from stayscope.sources.files import write_table
 
 LOGISTIC_REGRESSION = "Logistic Regression"
 RANDOM_FOREST = "Random Forest"
@@ -30,10 +31,14 @@ def random_forest(label: str) -> RandomForestClassifier:
 
 CLASSIFIERS = {LOGISTIC_REGRESSION: logistic_regression, RANDOM_FOREST: random_forest}
 
+# Rows that make a task worth starting: a pass of the regression is a few
+# microseconds per row, a pass of the forest far more.
+ROWS_PER_TASK = {LOGISTIC_REGRESSION: 4096, RANDOM_FOREST: 256}
+
 
 @dataclass
 class Trained:
-    """A fitted model, its persisted predictions on the test rows, its metrics."""
+    """A fitted model, its stored predictions on the test rows, its metrics."""
 
     model: PipelineModel
     predictions: DataFrame
@@ -45,6 +50,16 @@ def positive_score(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("score", vector_to_array("probability")[1])
 
 
+def _without_summary(model, folder: str):
+    """The model as stored and loaded again.
+
+    A model fresh from `fit` holds its training summary, and with it the
+    session, and would take both along into every scoring task.
+    """
+    model.write().overwrite().save(folder)
+    return type(model).load(folder)
+
+
 def train_and_score(
     train: DataFrame,
     test: DataFrame,
@@ -56,25 +71,34 @@ def train_and_score(
 ) -> dict[str, Trained]:
     """Fit the features once, then each classifier on the same feature table.
 
-    The feature tables are kept on the executors while the classifiers pass
-    over them; predictions are computed once and kept, as every metric and
+    The feature tables are written to the shared folder, so that every pass of
+    every classifier starts from them and a lost executor costs no work on
+    text. Predictions are computed once and written too, as every metric and
     every saved result reads them.
     """
+    spark = train.sparkSession
+    folder = shared_folder(spark)
     features = build_stages(text_col, category_cols).fit(train)
-    columns = [*keep, label, "features"]
-    train_rows = features.transform(train).select(columns).persist(StorageLevel.MEMORY_AND_DISK)
-    test_rows = features.transform(test).select(columns)
+    # The assembler names each of its slots in the column's metadata, which
+    # would travel with every task; the classifiers do not need the names.
+    bare = F.col("features").alias("features", metadata={})
+    rows = {
+        side: write_table(features.transform(table).select(*keep, label, bare), f"{folder}/{side}")
+        for side, table in (("train", train), ("test", test))
+    }
     trained = {}
-    try:
-        for name in names:
-            classifier = CLASSIFIERS[name](label).fit(train_rows)
-            scored = positive_score(classifier.transform(test_rows)).select(
-                *keep, label, "prediction", "probability", "rawPrediction", "score"
-            ).persist(StorageLevel.MEMORY_AND_DISK)
-            metrics = {"model": name, **evaluate(scored, label)}
-            trained[name] = Trained(PipelineModel([*features.stages, classifier]), scored, metrics)
-    finally:
-        train_rows.unpersist()
+    for name in names:
+        target = f"{folder}/{name.lower().replace(' ', '_')}"
+        tasks = -(-rows["train"] // ROWS_PER_TASK[name]) or 1
+        fitted = CLASSIFIERS[name](label).fit(spark.read.parquet(f"{folder}/train").coalesce(tasks))
+        classifier = _without_summary(fitted, f"{target}_model")
+        scored = positive_score(classifier.transform(spark.read.parquet(f"{folder}/test")))
+        write_table(
+            scored.select(*keep, label, "prediction", "probability", "rawPrediction", "score"), target
+        )
+        predictions = spark.read.parquet(target)
+        metrics = {"model": name, **evaluate(predictions, label)}
+        trained[name] = Trained(PipelineModel([*features.stages, classifier]), predictions, metrics)
     return trained
 
 
