@@ -17,7 +17,7 @@ from stayscope.operators.embedding import add_vectors
 from stayscope.operators.features import (
     category_index, category_stages, drop_incomplete, long_vector, split_by_hash, word_stages,
 )
-from stayscope.operators.keyword_search import bm25_topk, build_keyword_index, hydrate
+from stayscope.operators.keyword_search import bm25_topk, build_keyword_index, hydrate, write_keyword_index
 from stayscope.operators.language import add_language, fit_language_model
 from stayscope.operators.upsert import keep_last_by_key
 from stayscope.operators.vector_search import knn_topk
@@ -188,6 +188,11 @@ def _index(spark: SparkSession, folder: str):
     return build_keyword_index(views.documents(spark, folder), "doc_id", "text")
 
 
+def _written_index(spark: SparkSession, folder: str):
+    docs = views.table(spark, folder, "documents")
+    return write_keyword_index(docs, "doc_id", "text", shared_folder(spark))
+
+
 def bm25_index(spark: SparkSession, folder: str) -> DataFrame:
     return _index(spark, folder).postings.drop("first")
 
@@ -197,8 +202,7 @@ def bm25_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bm25(spark: SparkSession, folder: str) -> DataFrame:
-    index = _index(spark, folder).write(shared_folder(spark))
-    return bm25_topk(index, views.questions(spark, folder))
+    return bm25_topk(_written_index(spark, folder), views.questions(spark, folder))
 
 
 def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,7 +225,7 @@ def search_hydrate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_compare(spark: SparkSession, folder: str) -> DataFrame:
-    index = _index(spark, folder).write(shared_folder(spark))
+    index = _written_index(spark, folder)
     vectors = add_vectors(views.documents(spark, folder).select("doc_id", "text"), "text")
     return answer_questions(index, vectors, views.questions(spark, folder))[2]
 

@@ -55,10 +55,13 @@ def term_counts(tokens: Column) -> Column:
         ))
 
     empty = F.array().cast("array<struct<term:string,tf:int>>")
-    return F.when(F.size(tokens) > 0, let(F.array_sort(tokens), runs)).otherwise(empty)
+    return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), runs)).otherwise(empty)
 
 
 def letters(text: Column) -> Column:
-    """Lower-cased letters with single blanks between words and at both ends."""
-    bare = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOT_LETTERS, " "))
-    return F.when(bare == "", F.lit("")).otherwise(F.concat(F.lit(" "), bare, F.lit(" ")))
+    """Lower-cased letters, a single blank between words and at both ends.
+
+    A text without letters gives one blank.
+    """
+    padded = F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
+    return F.regexp_replace(padded, NOT_LETTERS, " ")

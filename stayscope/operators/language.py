@@ -53,7 +53,7 @@ def fit_language_model(
 ) -> LanguageModel:
     """Train on rows with a text and a known language; one pass, no shuffle of text."""
     labelled = df.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-    labelled = _with_characters(labelled.na.drop(), "_text").filter("_letters <> ''")
+    labelled = _with_characters(labelled.na.drop().filter(F.col("_text").rlike(r"\p{L}")), "_text")
     index = StringIndexer(inputCol="_lang", outputCol="_label", stringOrderType="alphabetAsc")
     indexed = index.fit(labelled)
     trigrams = NGram(n=3, inputCol="_characters", outputCol="_trigrams")
@@ -69,10 +69,16 @@ def fit_language_model(
 def add_language(
     df: DataFrame, model: LanguageModel, text_col: str, out_col: str = "lang"
 ) -> DataFrame:
-    """The text's language code; `unknown` for a text without letters."""
+    """The text's language code; `unknown` for a text without letters.
+
+    A filter on the new column stays above it: the optimizer would otherwise
+    move the whole model below earlier joins and duplicate removal, and there
+    it would read far more rows. The task number, which is never negative,
+    keeps it in place, as Spark moves no filter past such a column.
+    """
     names = F.array(*[F.lit(name) for name in model.languages])
     scored = model.stages.transform(_with_characters(df, text_col))
-    told = F.when(F.col("_letters") == "", F.lit(UNKNOWN)).otherwise(
+    told = F.when((F.col("_letters") == " ") | (F.spark_partition_id() < 0), F.lit(UNKNOWN)).otherwise(
         F.get(names, F.col("_place").cast("int"))
     )
     return scored.select([F.col(f"`{c}`") for c in df.columns if c != out_col] + [told.alias(out_col)])

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayscope.functions.text import is_blank
 from stayscope.operators.embedding import DIMS, add_vectors
-from stayscope.operators.keyword_search import KeywordIndex, bm25_topk, build_keyword_index, compare_hits
+from stayscope.operators.keyword_search import (
+    KeywordIndex, bm25_topk, compare_hits, write_keyword_index,
+)
 from stayscope.operators.vector_search import knn_topk
 from stayscope.session import shared_folder
 
@@ -16,7 +18,7 @@ HIT_FIELDS = ["hotel_name", "review_full_text", "rating"]
 def build_search(documents: DataFrame, folder: str, id_col: str = "doc_id",
                  text_col: str = "review_full_text") -> KeywordIndex:
     """The keyword index of a document set, written to `folder`."""
-    return build_keyword_index(documents, id_col, text_col).write(folder)
+    return write_keyword_index(documents, id_col, text_col, folder)
 
 
 def encode_questions(
