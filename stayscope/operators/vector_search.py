@@ -151,13 +151,17 @@ def knn_lsh(
     block: int = QUESTION_BLOCK,
     bands: int = 12,
     per_band: int = 2,
-    bucket_length: float = 0.35,
+    bucket_length: float | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """Approximate nearest rows: those that share a hash bucket with the question.
 
     Unit vectors are hashed by random projections; `per_band` projections make
     a band, and a row is a candidate if it equals the question in any band.
+    Longer buckets and more bands find more, fewer projections per band too;
+    all of them cost candidates. The default length is 2.8 / sqrt(dimensions),
+    twice the spread of a projected difference of two unrelated unit vectors,
+    which finds even far neighbours.
     Every candidate is scored exactly. A question for which hashing offers
     fewer than `candidates` rows is answered by the exact search instead, so
     no question comes away short.
@@ -166,35 +170,36 @@ def knn_lsh(
     table is scored where its rows are; a pair that meets in several bands is
     made in the first of them only.
     """
-    spark = vectors.sparkSession
-    rows = vectors.select(
-        F.col(id_col).alias("doc_id"), unit(F.col(vector_col).cast("array<double>")).alias("_v")
-    ).filter(F.exists("_v", lambda x: x != 0))
-    asked = questions.select(
-        F.col(query_col).alias("query_id"), unit(F.col(vector_col).cast("array<double>")).alias("_q")
-    ).filter(F.exists("_q", lambda x: x != 0))
+    first = questions.select(F.size(vector_col)).filter(F.col(vector_col).isNotNull()).first()
+    dims = first[0] if first else 1
+    zeros = F.array_repeat(F.lit(0.0), dims)
+
+    def pointed(df: DataFrame, old_id: str, new_id: str, out: str) -> DataFrame:
+        vector = F.coalesce(unit(F.col(vector_col).cast("array<double>")), zeros)
+        return df.select(F.col(old_id).alias(new_id), vector.alias(out)).filter(
+            F.exists(out, lambda x: x != 0)
+        )
+
+    rows = pointed(vectors, id_col, "doc_id", "_v")
+    asked = pointed(questions, query_col, "query_id", "_q")
+    if asked.isEmpty():
+        return knn_topk(vectors, questions, k, None, id_col, query_col, vector_col, block)
     hasher = BucketedRandomProjectionLSH(
-        inputCol="_point", outputCol="_hashes", bucketLength=bucket_length,
+        inputCol="_point", outputCol="_hashes", bucketLength=bucket_length or 2.8 / dims ** 0.5,
         numHashTables=bands * per_band, seed=seed,
     )
-    asked_points = asked.withColumn("_point", array_to_vector("_q"))
-    model = hasher.fit(asked_points)
+    model = hasher.fit(asked.withColumn("_point", array_to_vector("_q")))
 
     def banded(df: DataFrame, vector: str, out: str) -> DataFrame:
         hashed = model.transform(df.withColumn("_point", array_to_vector(vector)))
         places = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(bands * per_band)]
-        keys = [
-            F.xxhash64(*places[n * per_band:(n + 1) * per_band]).alias(f"{out}{n}")
-            for n in range(bands)
-        ]
-        return hashed.select(*df.columns, F.array(*keys).alias(out))
-
-    row_bands = banded(rows, "_v", "_rb").select(
-        "doc_id", "_v", "_rb", F.posexplode("_rb").alias("_band", "_key")
-    )
-    question_bands = banded(asked, "_q", "_qb").select(
-        "query_id", "_q", "_qb", F.posexplode("_qb").alias("_band", "_key")
-    )
+        keys = {f"_k{n}": F.xxhash64(*places[n * per_band:(n + 1) * per_band]) for n in range(bands)}
+        return hashed.select(*df.columns, *[key.alias(name) for name, key in keys.items()]).select(
+            *df.columns, F.array(*keys).alias(out), F.posexplode(F.array(*keys)).alias("_band", "_key")
+        )
+
+    row_bands = banded(rows, "_v", "_rb")
+    question_bands = banded(asked, "_q", "_qb")
     met = lookup_join(row_bands, question_bands, ["_band", "_key"], "inner", fits_broadcast(question_bands))
     first_band = F.array_position(F.zip_with("_rb", "_qb", lambda r, q: r == q), F.lit(True)) - 1
     scored = met.filter(F.col("_band") == first_band).select(
