@@ -1,7 +1,9 @@
 """The aggregate tables behind the review board.
 
 Each chart counts the reviews once, into a table of a few rows, and does the
-rest on that table. Buckets without reviews are kept with count 0.
+rest on that table. Buckets without reviews are kept with count 0. `weight`
+names a column that says how many reviews a row stands for, where the input
+has been counted before.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ def within_dates(df: DataFrame, low, high, date_col: str = "review_date") -> Dat
     return df.filter(F.col(date_col).between(F.lit(low), F.lit(high)))
 
 
-def _rows(name: str = "count") -> Column:
-    return F.count(F.lit(1)).alias(name)
+def _reviews(weight: str | None, name: str = "count") -> Column:
+    return (F.sum(weight) if weight else F.count(F.lit(1))).alias(name)
 
 
 def sentiment_by_region(df: DataFrame) -> DataFrame:
     """region, sentiment, count."""
-    return df.groupBy("region", "sentiment").agg(_rows()).orderBy("region", "sentiment")
+    return df.groupBy("region", "sentiment").agg(_reviews(None)).orderBy("region", "sentiment")
 
 
 def sentiment_pivot(by_region: DataFrame) -> DataFrame:
@@ -32,37 +34,46 @@ def sentiment_pivot(by_region: DataFrame) -> DataFrame:
     return wide.na.fill(0).withColumnsRenamed({str(k): v for k, v in LABEL_NAMES.items()})
 
 
-def rating_histogram(df: DataFrame, width: float = 1.0, column: str = "rating") -> DataFrame:
+def rating_histogram(
+    df: DataFrame, width: float = 1.0, column: str = "rating", weight: str | None = None
+) -> DataFrame:
     """bucket, count: lower bound of each bucket from the least to the greatest value."""
     step = F.floor(F.col(column) / F.lit(float(width))).cast("bigint")
-    counted = df.filter(F.col(column).isNotNull()).groupBy(step.alias("_step")).agg(_rows())
-    steps = counted.agg(F.sequence(F.min("_step"), F.max("_step")).alias("s"))
-    return _on_spine(steps, counted, "_step").select(
-        (F.col("_step") * F.lit(float(width))).alias("bucket"), "count"
+    rated = df.filter(F.col(column).isNotNull())
+    counted = rated.groupBy(step.alias("step")).agg(_reviews(weight))
+    return _with_empty(counted, "step", F.lit(1)).select(
+        (F.col("step") * F.lit(float(width))).alias("bucket"), "count"
     )
 
 
-def reviews_per_period(df: DataFrame, unit: str = "MONTH", column: str = "review_date") -> DataFrame:
+def reviews_per_period(
+    df: DataFrame, unit: str = "MONTH", column: str = "review_date", weight: str | None = None
+) -> DataFrame:
     """period, count: every calendar period between the first and the last review."""
-    start = F.date_trunc(unit, F.col(column)).cast("date")
-    counted = df.filter(F.col(column).isNotNull()).groupBy(start.alias("period")).agg(_rows())
-    stride = F.expr(f"interval 1 {unit}")
-    periods = counted.agg(F.sequence(F.min("period"), F.max("period"), stride).alias("s"))
-    return _on_spine(periods, counted, "period").select("period", "count")
+    start = F.date_trunc(unit, F.col(column)).cast("timestamp_ntz")
+    dated = df.filter(F.col(column).isNotNull())
+    counted = dated.groupBy(start.alias("period")).agg(_reviews(weight))
+    return _with_empty(counted, "period", F.expr(f"interval 1 {unit}")).select("period", "count")
 
 
-def _on_spine(spine: DataFrame, counted: DataFrame, key: str) -> DataFrame:
-    """The counts on every key of the spine, 0 where there is none."""
-    keys = spine.select(F.explode("s").alias(key))
-    return keys.join(counted, key, "left").na.fill(0, ["count"])
+def _with_empty(counted: DataFrame, key: str, stride: Column) -> DataFrame:
+    """The counts, and 0 for each key between two that occur.
+
+    Each row also fills the gap up to the next one, so the input is read once.
+    The window runs over the counted keys, not over reviews.
+    """
+    following = counted.withColumn("_next", F.lead(key).over(Window.orderBy(key)))
+    run = F.sequence(F.col(key), F.coalesce(F.col("_next") - stride, F.col(key)), stride)
+    keys = following.select("count", F.posexplode(run).alias("_at", key))
+    return keys.withColumn("count", F.when(F.col("_at") == 0, F.col("count")).otherwise(F.lit(0)))
 
 
-def region_split(df: DataFrame, n: int = 5) -> DataFrame:
+def region_split(df: DataFrame, n: int = 5, weight: str | None = None) -> DataFrame:
     """region, sentiment, count within the n largest regions; the rest is `Other`.
 
     Reviews without a region are left out, and regions of equal size go by name.
     """
-    counted = df.filter(F.col("region").isNotNull()).groupBy("region", "sentiment").agg(_rows())
+    counted = df.filter(F.col("region").isNotNull()).groupBy("region", "sentiment").agg(_reviews(weight))
     largest = (
         counted.groupBy("region").agg(F.sum("count").alias("_n"))
         .orderBy(F.col("_n").desc(), "region").limit(n)
@@ -79,14 +90,14 @@ def _top_or_other(counted: DataFrame, largest: DataFrame, key: str) -> DataFrame
     return joined.withColumn(key, F.when(F.col("_top"), F.col(key)).otherwise(F.lit(OTHER))).drop("_top")
 
 
-def positive_share(df: DataFrame) -> DataFrame:
+def positive_share(df: DataFrame, weight: str | None = None) -> DataFrame:
     """sentiment, count, percent of all reviews."""
-    counted = df.groupBy("sentiment").agg(_rows())
+    counted = df.groupBy("sentiment").agg(_reviews(weight))
     whole = Window.partitionBy()
     return counted.withColumn("percent", 100 * F.col("count") / F.sum("count").over(whole))
 
 
-def top_cities(df: DataFrame, n: int = 10, exact: bool = True) -> DataFrame:
+def top_cities(df: DataFrame, n: int = 10, exact: bool = True, weight: str | None = None) -> DataFrame:
     """city, ratings, median_rating of the n cities with most ratings, and `Other`.
 
     The median of `Other` is that of its ratings, not of the cities' medians.
@@ -94,21 +105,19 @@ def top_cities(df: DataFrame, n: int = 10, exact: bool = True) -> DataFrame:
     by their counts and a large city is no large group. `exact=False` is for
     ratings that take very many values.
     """
-    counted = (
-        df.filter(F.col("city").isNotNull() & F.col("rating").isNotNull())
-        .groupBy("city", "rating").agg(_rows("ratings"))
-    )
+    rated = df.filter(F.col("city").isNotNull() & F.col("rating").isNotNull())
+    counted = rated.groupBy("city", "rating").agg(_reviews(weight, "ratings"))
     largest = (
         counted.groupBy("city").agg(F.sum("ratings").alias("_n"))
         .orderBy(F.col("_n").desc(), "city").limit(n)
     )
-    labelled = _top_or_other(counted, largest, "city")
     if exact:
         median = F.percentile("rating", 0.5, F.col("ratings"))
-        return labelled.groupBy("city").agg(
+        return _top_or_other(counted, largest, "city").groupBy("city").agg(
             F.sum("ratings").alias("ratings"), median.alias("median_rating")
         )
-    rows = df.filter(F.col("city").isNotNull() & F.col("rating").isNotNull()).select("city", "rating")
-    return _top_or_other(rows, largest, "city").groupBy("city").agg(
+    if weight:
+        raise ValueError("the approximate median needs one row per review")
+    return _top_or_other(rated.select("city", "rating"), largest, "city").groupBy("city").agg(
         F.count("rating").alias("ratings"), F.percentile_approx("rating", 0.5).alias("median_rating")
     )

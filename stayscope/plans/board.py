@@ -3,22 +3,30 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from stayscope.operators.charts import (
     positive_share, rating_histogram, region_split, reviews_per_period, top_cities, within_dates,
 )
 
-CHART_COLUMNS = ["review_date", "rating", "sentiment", "region", "city"]
-
 
 def board(reviews: DataFrame, low, high) -> dict[str, DataFrame]:
-    """The five charts; the filtered rows they share are read once and kept."""
-    rows = within_dates(reviews.select(CHART_COLUMNS), low, high).persist(StorageLevel.MEMORY_AND_DISK)
+    """The five charts of the reviews from `low` to `high`.
+
+    Reviews are read once, into counts per month, rating, sentiment, region
+    and city. The counts are kept, and every chart is made from them.
+    """
+    month = F.date_trunc("MONTH", F.col("review_date")).alias("review_date")
+    counts = (
+        within_dates(reviews, low, high)
+        .groupBy(month, "rating", "sentiment", "region", "city")
+        .agg(F.count(F.lit(1)).alias("reviews"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     return {
-        "rating_histogram": rating_histogram(rows),
-        "region_topn_other": region_split(rows),
-        "reviews_per_month": reviews_per_period(rows),
-        "positive_share": positive_share(rows),
-        "top_cities": top_cities(rows),
+        "rating_histogram": rating_histogram(counts, weight="reviews"),
+        "region_topn_other": region_split(counts, weight="reviews"),
+        "reviews_per_month": reviews_per_period(counts, weight="reviews"),
+        "positive_share": positive_share(counts, weight="reviews"),
+        "top_cities": top_cities(counts, weight="reviews"),
     }

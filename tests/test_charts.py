@@ -4,6 +4,7 @@ import statistics
 from datetime import datetime
 
 import pytest
+from conftest import plan_of
 
 from stayscope.operators import charts
 from stayscope.plans.board import board
@@ -36,11 +37,25 @@ def test_histogram_keeps_empty_buckets(reviews, rows):
 
 
 def test_months_keep_empty_ones(reviews, rows):
-    found = {str(r.period): r["count"] for r in charts.reviews_per_period(reviews).collect()}
+    found = {str(r.period.date()): r["count"] for r in charts.reviews_per_period(reviews).collect()}
     assert len(found) == 24 and found["2020-03-01"] == 0
     assert sum(found.values()) == sum(1 for r in rows if r[0])
 
 
+def test_hours_and_one_period(spark):
+    rows = [(datetime(2020, 1, 1, h, 5),) for h in (1, 1, 4)]
+    df = spark.createDataFrame(rows, "review_date timestamp")
+    found = [(r.period.hour, r["count"]) for r in charts.reviews_per_period(df, "HOUR").orderBy("period").collect()]
+    assert found == [(1, 2), (2, 0), (3, 0), (4, 1)]
+    assert charts.reviews_per_period(df, "YEAR").count() == 1
+
+
+def test_charts_read_their_input_once(reviews):
+    for chart in (charts.rating_histogram(reviews), charts.reviews_per_period(reviews)):
+        assert plan_of(chart).count("Exchange SinglePartition") <= 1
+        assert plan_of(chart).count("Scan ExistingRDD") == 1
+
+
 def test_regions_beyond_the_largest_are_other(reviews, rows):
     found = {(r.region, r.sentiment): r["count"] for r in charts.region_split(reviews, 2).collect()}
     sizes = {}
