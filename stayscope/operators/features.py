@@ -82,8 +82,13 @@ def category_index(df: DataFrame, category_col: str) -> DataFrame:
 
 
 def long_vector(df: DataFrame, keep: list[str], vector_col: str, value: str = "value") -> DataFrame:
-    """keep, slot, value: one row per non-zero entry of a vector column."""
-    from pyspark.ml.functions import vector_to_array
+    """keep, slot, value: one row per non-zero entry of a vector column.
 
-    entries = F.posexplode(vector_to_array(vector_col)).alias("slot", value)
-    return df.select(*keep, entries).filter(F.col(value) != 0)
+    Entries of a sparse vector are read as they are stored, so the cost goes by
+    the entries and not by the width.
+    """
+    plain = df.select(*keep, F.unwrap_udt(vector_col).alias("_v"))
+    stored = F.arrays_zip(F.col("_v.indices").alias("slot"), F.col("_v.values").alias(value))
+    dense = F.transform("_v.values", lambda x, i: F.struct(i.alias("slot"), x.alias(value)))
+    entries = F.when(F.col("_v.type") == 0, stored).otherwise(dense)
+    return plain.select(*keep, F.inline(entries)).filter(F.col(value) != 0)

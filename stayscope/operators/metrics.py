@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+MAX_SLICES = 512
+
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1"]
 
 
@@ -67,10 +69,12 @@ def _ranked_scores(predictions: DataFrame, label: str, score: str, slices: int |
     Rows are first counted per score. The scores are then cut into slices at
     fixed points, each slice is summed on its own, and the totals of the
     slices above are added: one row per slice is all that meets in one task.
-    There are as many slices as shuffle partitions unless `slices` is given.
+    There are as many slices as shuffle partitions, up to 512, unless `slices`
+    is given.
     """
     if slices is None:
-        slices = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = min(partitions, MAX_SLICES)
     rows = predictions.select(
         F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("label")
     ).na.drop()

@@ -244,7 +244,7 @@ def test_lsh_with_many_questions_goes_the_salted_way(space, monkeypatch):
 
 def test_hydrate_and_compare(docs, asked):
     hits = bm25_topk(build_keyword_index(docs, "doc_id", "text"), asked, 2)
-    for small in (True, False):
+    for small in (None, True, False):
         shown = hydrate(hits, docs.withColumn("stars", F.lit(3.0)), "doc_id", ["text", "stars"], small)
         assert shown.columns == ["query_id", "doc_id", "score", "rank", "text", "stars"]
         assert shown.count() == hits.count()
