@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayscope.operators.features import build_stages
+from stayscope.operators.features import WORD_COUNT_STAGES, build_stages
 from stayscope.operators.metrics import evaluate
 from stayscope.session import shared_folder
 from stayscope.sources.contracts import METRICS
@@ -71,21 +71,27 @@ def train_and_score(
 ) -> dict[str, Trained]:
     """Fit the features once, then each classifier on the same feature table.
 
-    The feature tables are written to the shared folder, so that every pass of
-    every classifier starts from them and a lost executor costs no work on
-    text. Predictions are computed once and written too, as every metric and
-    every saved result reads them.
+    The text is read once: its word counts are written to the shared folder,
+    and weights, categories and the feature tables are made from them. Every
+    pass of every classifier starts from the written features, so a lost
+    executor costs no work on text. Predictions are computed once and written
+    too, as every metric and every saved result reads them.
     """
     spark = train.sparkSession
     folder = shared_folder(spark)
-    features = build_stages(text_col, category_cols).fit(train)
+    stages = build_stages(text_col, category_cols).getStages()
+    counting = PipelineModel(stages[:WORD_COUNT_STAGES])
+    columns = [*keep, label, *category_cols, stages[WORD_COUNT_STAGES - 1].getOutputCol()]
+    for side, table in (("train", train), ("test", test)):
+        write_table(counting.transform(table).select(columns), f"{folder}/{side}_counts")
+    weighing = Pipeline(stages=stages[WORD_COUNT_STAGES:]).fit(spark.read.parquet(f"{folder}/train_counts"))
     # The assembler names each of its slots in the column's metadata, which
     # would travel with every task; the classifiers do not need the names.
     bare = F.col("features").alias("features", metadata={})
-    rows = {
-        side: write_table(features.transform(table).select(*keep, label, bare), f"{folder}/{side}")
-        for side, table in (("train", train), ("test", test))
-    }
+    rows = {}
+    for side in ("train", "test"):
+        weighed = weighing.transform(spark.read.parquet(f"{folder}/{side}_counts"))
+        rows[side] = write_table(weighed.select(*keep, label, bare), f"{folder}/{side}")
     trained = {}
     for name in names:
         target = f"{folder}/{name.lower().replace(' ', '_')}"
@@ -98,7 +104,7 @@ def train_and_score(
         )
         predictions = spark.read.parquet(target)
         metrics = {"model": name, **evaluate(predictions, label)}
-        trained[name] = Trained(PipelineModel([*features.stages, classifier]), predictions, metrics)
+        trained[name] = Trained(PipelineModel([*counting.stages, *weighing.stages, classifier]), predictions, metrics)
     return trained
 
 

@@ -12,6 +12,8 @@ from stayscope.functions.keys import hash_percent
 from stayscope.sources.contracts import require_columns
 
 WIDTH = 2 ** 15
+# The first word stages, up to the hashed counts, need no fitting.
+WORD_COUNT_STAGES = 3
 LABEL_SOURCES = ("rating", "reviews.rating")
 
 
