@@ -122,12 +122,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of symbols, whatever its place."""
-    table = mixed((symbols.astype(np.uint64) + np.uint64(1)) * np.uint64(_MULTIPLIER))
+    if "symbols" not in _powers:
+        _powers["symbols"] = mixed((np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * np.uint64(_MULTIPLIER))
+    table = _powers["symbols"].take(symbols)
     table *= _power(_ROOT, len(symbols))
     sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
     np.cumsum(table, out=sums[1:])
-    back = _power(pow(_ROOT, -1, 1 << 64), len(symbols) + 1)
-    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    out = sums[ends]
+    out -= sums[starts]
+    out *= _power(pow(_ROOT, -1, 1 << 64), len(symbols) + 1)[starts]
+    out += (ends - starts).astype(np.uint64)
+    return mixed(out)
 
 
 _BLANK = np.zeros(256, dtype=bool)

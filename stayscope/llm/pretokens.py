@@ -10,8 +10,8 @@ of its own; a lone apostrophe takes an English ending with it.
 
 from __future__ import annotations
 
+import re
 import sys
-import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,8 +59,8 @@ class Pieces:
         return [whole[a:b] for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist())]
 
 
-def cut(column: pa.Array, special: bytes = b"") -> Pieces:
-    """The pieces of every text; occurrences of `special` are pieces of their own."""
+def cut(column: pa.Array, special: tuple[bytes, ...] = ()) -> Pieces:
+    """The pieces of every text; occurrences of a special string are pieces of their own."""
     raw, bounds = text_bytes(column)
     lead = (raw & 0xC0) != 0x80
     at = np.flatnonzero(lead)
@@ -98,16 +98,18 @@ def cut(column: pa.Array, special: bytes = b"") -> Pieces:
 
 
 def _special_spans(raw, bounds, at, special) -> list[tuple[int, int]]:
+    """Leftmost and longest occurrences within one text, as character spans."""
     if not special:
         return []
+    pattern = re.compile(b"|".join(re.escape(x) for x in sorted(special, key=len, reverse=True)))
     whole, found, i = raw.tobytes(), [], 0
-    while (i := whole.find(special, i)) >= 0:
-        text = np.searchsorted(bounds, i, side="right") - 1
-        if i + len(special) <= bounds[text + 1]:
-            found.append(tuple(np.searchsorted(at, [i, i + len(special)]).tolist()))
-            i += len(special)
+    while hit := pattern.search(whole, i):
+        text = np.searchsorted(bounds, hit.start(), side="right") - 1
+        if hit.end() <= bounds[text + 1]:
+            found.append(tuple(np.searchsorted(at, hit.span()).tolist()))
+            i = hit.end()
         else:
-            i += 1
+            i = hit.start() + 1
     return found
 
 

@@ -5,13 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayscope.llm import bpe
+from stayscope.llm import bpe, token_counts, token_store
+from stayscope.session import shared_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every text from counts per distinct pre-token; see `token_counts`."""
+    return token_counts.token_counts(
+        _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512
+    )
+
+
+def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's ids written to the coded files and read back; see `token_store`."""
+    store = shared_folder(spark)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    token_store.write_store(_table(spark, folder, "documents"), path, store, end_id=0)
+    return token_store.digests(token_store.read_store(spark, store))
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text by the multi-language ranks, decoded again; see `bpe`."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,6 +36,8 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_token_counts": op7_token_counts,
+    "op8_token_store": op8_token_store,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
