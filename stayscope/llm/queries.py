@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayscope.llm import bpe, token_counts, token_store
+from stayscope.llm import bpe, html_density, language_zstd, token_counts, token_store, topk_tiles
 from stayscope.session import shared_folder
 
 
@@ -13,6 +13,41 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_html_density(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page; see `html_density`."""
+    return html_density.extract(_table(spark, folder, "pages"))
+
+
+def op5_language_zstd(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text by dictionaries fitted on three quarters of the ids; see `language_zstd`."""
+    docs = _table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    found = language_zstd.identify(docs, language_zstd.fit_dictionaries(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin")
+
+
+def op6_topk_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best candidates of every twentieth vector; see `topk_tiles`."""
+    vectors = topk_tiles.quantised(_table(spark, folder, "embeddings"), scale=64)
+    return topk_tiles.top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20)
+
+
+OP6_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as e
+  from embeddings
+  where embedding is not null and list_count(embedding) = len(embedding)
+    and len(list_filter(embedding, lambda x: not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id and len(c.e) = len(q.e)
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every text from counts per distinct pre-token; see `token_counts`."""
     return token_counts.token_counts(
@@ -36,8 +71,13 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_html_density": op3_html_density,
+    "op5_language_zstd": op5_language_zstd,
+    "op6_topk_tiles": op6_topk_tiles,
     "op7_token_counts": op7_token_counts,
     "op8_token_store": op8_token_store,
     "op9_byte_bpe": op9_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_topk_tiles": OP6_SQL,
+}

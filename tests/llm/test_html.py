@@ -1,0 +1,59 @@
+import re
+
+import pytest
+
+from stayscope.llm import html_density
+from stayscope.llm.html_density import main_text
+
+LONG = "A sentence of the report that is long enough to weigh more than a label would."
+
+
+def test_article_without_its_surroundings():
+    page = f"""<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var x="</p>";</script></head>
+    <body><header><h1>The paper</h1></header><nav><ul><li><a href=/a>{LONG}</a></li></ul></nav>
+    <div class="cookie-notice">{LONG}</div><div class="ad">{LONG}</div><!-- {LONG} -->
+    <article><h1>A  title</h1><p><b>{LONG}<br>two<p>caf&eacute; &amp; &#8364;\n\t{LONG}</p><p>Short.</p>
+    <form>{LONG}<input></form><div id="comments"><p>{LONG}</p></div></article>
+    <aside>{LONG}</aside><div id="sideBar" class="sidebar"><p>{LONG}</p></div><footer>&copy; {LONG}</footer></body>"""
+    assert main_text(page) == f"A title\n\n{LONG} two\n\ncafé & € {LONG}\n\nShort."
+
+
+def test_page_without_article_element():
+    links = "".join(f"<li><a href=/{i}>A link with quite some text in it {i}</a></li>" for i in range(30))
+    page = f"""<body><div id=top><ul>{links}</ul></div><div id=wrap><div class=story><h2>Head</h2><p>{LONG}</p>
+    <p>{LONG} <a href=x>See</a></p><ul><li>one<li>two</ul></div></div></body>"""
+    assert main_text(page) == f"Head\n\n{LONG}\n\n{LONG} See\n\none\n\ntwo"
+
+
+@pytest.mark.parametrize("page, text", [
+    (None, ""), ("", ""), ("plain words", "plain words"), ("<p>", ""), ("<![broken[<p>a b", "a b"), ("a<br>b  c", "a b c"),
+    ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"), ("<p>one</b></i></p></div>two", "one\n\ntwo"),
+    ("<script>only()</script>", ""), ("<table><tr><td>x<td>y<tr><td>z</table>", "x y\n\nz"),
+])
+def test_odd_pages(page, text):
+    assert main_text(page) == text
+
+
+def test_very_long_page():
+    page = "<article>" + f"<p>{LONG}</p>" * 20000 + "</article>"
+    assert main_text(page).count("\n\n") == 19999
+
+
+def test_pages_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in html_density.extract(pages).collect()}
+    for row in pages.collect():
+        inside = re.search("<article>(.*)</article>", row.html, re.S)[1]
+        words = re.sub(r"<[^>]*>", " ", inside)
+        import html
+        assert got[row.page_id].split() == html.unescape(words).split()
+
+
+def test_table_with_nulls_repeats_and_other_columns(spark):
+    rows = [(1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x"), (None, None, None, None), (2, None, "", "y")]
+    out = html_density.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string"))
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0), (2, None, "", 0)], key=str)
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert html_density.extract(empty).count() == 0
