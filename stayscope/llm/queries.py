@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayscope.llm import bpe, html_density, language_zstd, token_counts, token_store, topk_tiles
+from stayscope.llm import (
+    bpe,
+    decontaminate,
+    html_density,
+    language_zstd,
+    simhash_bktree,
+    token_counts,
+    token_store,
+    topk_tiles,
+)
 from stayscope.session import shared_folder
 
 
@@ -13,11 +22,23 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of 3-word shingles and component at 2 bits of every text; see `simhash_bktree`."""
+    found = simhash_bktree.near_duplicates(_table(spark, folder, "documents"), shingle=3, radius=2)
+    return simhash_bktree.digests(found)
+
+
 def op3_html_density(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page; see `html_density`."""
     return html_density.extract(_table(spark, folder, "pages"))
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items that stand in every text, up to an edit per 16 characters; see `decontaminate`."""
+    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return decontaminate.digests(found)
+
+
 def op5_language_zstd(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every text by dictionaries fitted on three quarters of the ids; see `language_zstd`."""
     docs = _table(spark, folder, "documents")
@@ -71,7 +92,9 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_bktree": op2_simhash_bktree,
     "op3_html_density": op3_html_density,
+    "op4_decontaminate": op4_decontaminate,
     "op5_language_zstd": op5_language_zstd,
     "op6_topk_tiles": op6_topk_tiles,
     "op7_token_counts": op7_token_counts,
