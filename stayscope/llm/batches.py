@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BATCH_BYTES = 4 << 20
 #: Texts handled at once in a task; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: The words' separators: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = b" \t\n\x0b\x0c\r"
 
@@ -124,13 +124,22 @@ def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     """A 64-bit hash of each span of symbols, whatever its place."""
     if "symbols" not in _powers:
         _powers["symbols"] = mixed((np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * np.uint64(_MULTIPLIER))
-    table = _powers["symbols"].take(symbols)
-    table *= _power(_ROOT, len(symbols))
-    sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
+    return _sums_of_runs(_powers["symbols"].take(symbols), starts, ends)
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of 64-bit hashes, whatever its place."""
+    return _sums_of_runs(mixed(values), starts, ends)
+
+
+def _sums_of_runs(table: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes from running sums; `table` is overwritten."""
+    table *= _power(_ROOT, len(table))
+    sums = np.zeros(len(table) + 1, dtype=np.uint64)
     np.cumsum(table, out=sums[1:])
     out = sums[ends]
     out -= sums[starts]
-    out *= _power(pow(_ROOT, -1, 1 << 64), len(symbols) + 1)[starts]
+    out *= _power(pow(_ROOT, -1, 1 << 64), len(table) + 1)[starts]
     out += (ends - starts).astype(np.uint64)
     return mixed(out)
 

@@ -17,16 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stayscope.llm.batches import bound_batches, keyed_texts, mixed, slices
-from stayscope.llm.pretokens import cut
+from stayscope.llm.known import KnownPieces
 
 #: Longer pre-tokens are merged alone with a heap: a matrix takes a round per merge.
 WIDEST = 256
-#: Ids that a worker keeps for pre-tokens it has met; beyond it starts anew.
-KEPT_IDS = 8_000_000
+#: Cells of a matrix.
+MATRIX_CELLS = 500_000
+#: Ids decoded at once.
+DECODED_IDS = 250_000
 NONE = np.int32(2**31 - 1)
 
 _held: dict[str, "Ranks"] = {}
-_known: dict[str, "KnownPieces"] = {}
+_known: dict[str, KnownPieces] = {}
 
 
 class Ranks:
@@ -98,7 +100,7 @@ class Ranks:
             # Rows up to a quarter longer than the shortest share a matrix of bounded size.
             width = int(sizes[rest[begin]] * 5 // 4)
             end = int(np.searchsorted(sizes[rest], width, side="right"))
-            end = min(end, begin + max(1, 2_000_000 // max(width, 1)))
+            end = min(end, begin + max(1, MATRIX_CELLS // max(width, 1)))
             self._merge_rows(pieces, rest[begin:end], out)
             begin = end
         return out
@@ -188,69 +190,11 @@ def ranks_of(content: bytes) -> Ranks:
     return _held[key]
 
 
-def known_of(content: bytes) -> "KnownPieces":
+def known_of(content: bytes) -> KnownPieces:
     """What the worker has met so far with this vocabulary, in this task or an earlier one."""
     return _known.setdefault(str(hash(content)), KnownPieces())
 
 
-class KnownPieces:
-    """Ids of the pre-tokens a worker has met, found by hash, within a bound."""
-
-    def __init__(self) -> None:
-        self.hashes = np.empty(0, np.uint64)
-        self.begin = np.zeros(1, np.int64)
-        self.ids = np.empty(0, np.int32)
-
-    def full(self) -> bool:
-        return len(self.ids) > KEPT_IDS
-
-    def add(self, hashes: np.ndarray, ids: list[np.ndarray]) -> None:
-        """Take in pieces that are not held yet."""
-        order = np.argsort(hashes)
-        new = [ids[i] for i in order.tolist()]
-        sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-        at = np.searchsorted(self.hashes, hashes[order])
-        old = np.diff(self.begin)
-        all_sizes = np.insert(old, at, sizes)
-        new_flat = np.concatenate(new) if new else np.empty(0, np.int32)
-        self.ids = np.insert(self.ids, np.repeat(self.begin[at], sizes), new_flat)
-        self.hashes = np.insert(self.hashes, at, hashes[order])
-        self.begin = np.concatenate(([0], np.cumsum(all_sizes)))
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each hash stands, and whether it does."""
-        at = np.searchsorted(self.hashes, hashes)
-        safe = np.minimum(at, max(len(self.hashes) - 1, 0))
-        return safe, (self.hashes[safe] == hashes) if len(self.hashes) else np.zeros(len(hashes), bool)
-
-    def sizes(self, at: np.ndarray) -> np.ndarray:
-        return self.begin[at + 1] - self.begin[at]
-
-    def gather(self, at: np.ndarray) -> np.ndarray:
-        """The ids of many pieces one after another."""
-        sizes = self.sizes(at)
-        total = int(sizes.sum())
-        shift = np.repeat(self.begin[at] - (np.cumsum(sizes) - sizes), sizes)
-        return self.ids[np.arange(total) + shift]
-
-
-def encode_column(ranks: Ranks, known: KnownPieces, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a column of texts, and where those of each text begin (with the end)."""
-    pieces = cut(column)
-    distinct, sample, inverse = np.unique(pieces.hashes, return_index=True, return_inverse=True)
-    _, there = known.find(distinct)
-    new = np.flatnonzero(~there)
-    if len(new):
-        if known.full():
-            known.__init__()
-            new = np.arange(len(distinct))
-        known.add(distinct[new], ranks.encode(pieces.bytes_of(sample[new])))
-    at, _ = known.find(distinct)
-    at = at[inverse]
-    ends = np.concatenate(([0], np.cumsum(known.sizes(at))))
-    return known.gather(at), ends[pieces.first]
-
-
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (array of int) of every text.
 
@@ -269,7 +213,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
         ranks, known = ranks_of(content.value), known_of(content.value)
         for batch in batches:
             for part in slices(batch):
-                ids, bounds = encode_column(ranks, known, part.column("text"))
+                ids, bounds = known.encode_column(part.column("text"), ranks.encode)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], names=["doc_id", "ids"])
 
@@ -292,18 +236,20 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
         begin = np.concatenate(([0], np.cumsum(sizes)))
         flat = np.frombuffer(b"".join(ranks.pieces), dtype=np.uint8)
         for batch in batches:
-            lists = batch.column("ids")
-            bounds = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.values.to_numpy()[bounds[0]:bounds[-1]]
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes)):
-                raise ValueError("an id outside the vocabulary")
-            ends = np.concatenate(([0], np.cumsum(sizes[ids])))
-            shift = np.repeat(begin[ids] - ends[:-1], sizes[ids])
-            data = flat[np.arange(int(ends[-1])) + shift]
-            out = pa.Array.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(ends[bounds - bounds[0]]), pa.py_buffer(data)]
-            ).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, out], names=["doc_id", "ids", "decoded"])
+            for part in _id_slices(batch):
+                lists = part.column("ids")
+                bounds = lists.offsets.to_numpy().astype(np.int64)
+                ids = lists.values.to_numpy()[bounds[0]:bounds[-1]]
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes)):
+                    raise ValueError("an id outside the vocabulary")
+                ends = np.concatenate(([0], np.cumsum(sizes[ids])))
+                shift = np.repeat(begin[ids] - ends[:-1], sizes[ids])
+                shift += np.arange(int(ends[-1]))
+                out = pa.Array.from_buffers(
+                    pa.large_binary(), len(lists),
+                    [None, pa.py_buffer(ends[bounds - bounds[0]]), pa.py_buffer(flat[shift])],
+                ).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, out], names=["doc_id", "ids", "decoded"])
 
     narrow = encoded.select(
         encoded[id_col].cast("bigint").alias("doc_id"),
@@ -312,6 +258,17 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     return narrow.mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 
 
+def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Cut a batch between rows after about DECODED_IDS ids."""
+    ends = batch.column("ids").offsets.to_numpy()
+    begin = 0
+    while begin < batch.num_rows:
+        end = int(np.searchsorted(ends, ends[begin] + DECODED_IDS, side="right")) - 1
+        end = min(max(end, begin + 1), batch.num_rows)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what `decode` returns."""
     return decoded.select(

@@ -10,7 +10,7 @@ import pyarrow as pa
 from stayscope.llm.pretokens import cut
 
 #: Pre-tokens that a worker keeps; beyond it starts anew.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 500_000
 
 Encoder = Callable[[list[bytes]], list[np.ndarray]]
 

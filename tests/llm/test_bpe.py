@@ -40,18 +40,17 @@ def test_cut_gives_the_patterns_matches(texts):
 def test_encode_column_is_the_librarys(library, texts):
     with open(RANKS, "rb") as f:
         ranks = bpe.ranks_of(f.read())
-    ids, bounds = bpe.encode_column(ranks, bpe.KnownPieces(), pa.array(texts))
+    ids, bounds = bpe.KnownPieces().encode_column(pa.array(texts), ranks.encode)
     for i, text in enumerate(texts):
         assert ids[bounds[i]:bounds[i + 1]].tolist() == library.encode_ordinary(text)
 
 
-def test_forgetting_known_pieces_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_IDS", 3)
+def test_forgetting_known_pieces_changes_nothing(library):
     with open(RANKS, "rb") as f:
         ranks = bpe.ranks_of(f.read())
-    known = bpe.KnownPieces()
+    known = bpe.KnownPieces(3)
     for text in ("thrice upon lichkeit", "lichkeit upon a xyzzy", "thrice xyzzy"):
-        ids, _ = bpe.encode_column(ranks, known, pa.array([text]))
+        ids, _ = known.encode_column(pa.array([text]), ranks.encode)
         assert ids.tolist() == library.encode_ordinary(text)
 
 
