@@ -11,6 +11,7 @@ from stayscope.llm import (
     html_density,
     language_zstd,
     simhash_bktree,
+    substring_dedup,
     token_counts,
     token_store,
     topk_tiles,
@@ -22,6 +23,40 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text without the 50-word windows of earlier documents; see `substring_dedup`."""
+    return substring_dedup.digests(substring_dedup.remove_repeats(_table(spark, folder, "documents"), length=50))
+
+
+OP1_SQL = r"""
+with words as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents
+), windows as (
+  select doc_id, p, array_to_string(w[p:p + 49], ' ') as body
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as p from words where len(w) >= 50)
+), seen as (
+  select md5(body) as body, min(doc_id) as least from windows group by 1
+), repeated as (
+  select distinct doc_id, p from windows x join seen on md5(x.body) = seen.body where x.doc_id > least
+), places as (
+  select doc_id, w, unnest(range(1, len(w) + 1)) as i from words
+), covered as (
+  select doc_id, i from repeated, unnest(range(p, p + 50)) t(i) group by 1, 2
+), marked as (
+  select p.doc_id, p.i, p.w[p.i] as word, c.i is not null as gone
+  from places p left join covered c on c.doc_id = p.doc_id and c.i = p.i
+), summed as (
+  select doc_id, count(*) as n_words, count(*) filter (gone) as n_removed,
+         string_agg(word, ' ' order by i) filter (not gone) as kept
+  from marked group by 1
+)
+select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join summed s on s.doc_id = d.doc_id
+"""
+
+
 def op2_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of 3-word shingles and component at 2 bits of every text; see `simhash_bktree`."""
     found = simhash_bktree.near_duplicates(_table(spark, folder, "documents"), shingle=3, radius=2)
@@ -92,6 +127,7 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_bktree": op2_simhash_bktree,
     "op3_html_density": op3_html_density,
     "op4_decontaminate": op4_decontaminate,
@@ -102,5 +138,6 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
     "op6_topk_tiles": OP6_SQL,
 }
