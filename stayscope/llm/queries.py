@@ -9,6 +9,7 @@ from stayscope.llm import (
     bpe,
     decontaminate,
     html_density,
+    kneser_ney,
     language_zstd,
     simhash_bktree,
     substring_dedup,
@@ -126,6 +127,12 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, path))
 
 
+def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity of every text under a model of the trusted ones, and the verdict; see `kneser_ney`."""
+    trusted = _table(spark, folder, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    return kneser_ney.judge(_table(spark, folder, "documents"), trusted, quantile=0.995)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_bktree": op2_simhash_bktree,
@@ -136,6 +143,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_token_store": op8_token_store,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
