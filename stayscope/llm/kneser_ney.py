@@ -189,7 +189,7 @@ def totals(texts: DataFrame, logs: DataFrame, folder: str, table_bytes: int = TA
         scored = scored.join(more, ["text_key", "n"], "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
     # A text without units has nothing to judge: only the end would be predicted.
     total = F.when(F.col("n") > 1, F.col("total"))
-    return scored.select("doc_id", "lang", "trusted", "n", total.alias("total"))
+    return scored.select("doc_id", "lang", "trusted", "text_key", "n", total.alias("total"))
 
 
 def _rest(found: np.ndarray, there: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -221,7 +221,7 @@ def judge(
     docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.995, prior: int = 50, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang", table_bytes: int = TABLE_BYTES,
 ) -> DataFrame:
-    """doc_id, lang, perplexity, score, threshold and keep of every document.
+    """doc_id, text_key (a hash of the text), lang, perplexity, score, threshold and keep of every document.
 
     `trusted_ids` names the trusted documents in its first column. `score` is
     the perplexity with `prior` n-grams of the language's trusted average
@@ -266,6 +266,5 @@ def _thresholds(scored: DataFrame, quantile: float, prior: int) -> DataFrame:
     cut = F.percentile_approx("score", quantile, 10_000).alias("threshold")
     rows = with_own(rows, by_language(rows.filter("trusted and total is not null"), cut), "threshold")
     keep = F.col("score").isNotNull() & (F.col("threshold").isNull() | (F.col("score") <= F.col("threshold")))
-    return rows.select(
-        "doc_id", "lang", F.exp(-F.col("total") / F.col("n")).alias("perplexity"), "score", "threshold", keep.alias("keep")
-    )
+    perplexity = F.exp(-F.col("total") / F.col("n"))
+    return rows.select("doc_id", "text_key", "lang", perplexity.alias("perplexity"), "score", "threshold", keep.alias("keep"))
