@@ -145,35 +145,64 @@ def _word_counts(name: str, table: str, id_col: str) -> str:
   from (select {id_col} as id, unnest({WORDS.format(text='text')}) as t from {table}) group by 1, 2)"""
 
 
-BM25 = _word_counts("postings", "documents", "doc_id") + "," + _word_counts(
-    "asked", "(select * from benchmark where trim(text) <> '')", "item_id"
-) + """,
+def bm25(documents: str) -> str:
+    """CTE `bm25`: the five best of a table with doc_id and text for every benchmark item."""
+    return _word_counts("postings", documents, "doc_id") + "," + _word_counts(
+        "asked", "(select * from benchmark where trim(text) <> '')", "item_id"
+    ) + """,
 lengths as (select id, sum(n) as doc_len from postings group by 1),
 corpus as (select count(*) as docs, avg(doc_len) as mean_len from lengths),
 rare as (select t, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) as idf
          from postings, corpus group by t, docs),
 matched as (
   select a.id as query_id, p.id as doc_id,
-         round(sum(a.n * idf * p.n * 2.2 / (p.n + 1.2 * (0.25 + 0.75 * doc_len / mean_len))), 6) as score
+         sum(cast(a.n * idf * p.n * 2.2 / (p.n + 1.2 * (0.25 + 0.75 * doc_len / mean_len)) as decimal(28, 15))) as score
   from asked a join postings p using (t) join rare using (t) join lengths l on l.id = p.id, corpus
   group by 1, 2),
 bm25 as (
-  select query_id, doc_id, score, rank from (
+  select query_id, doc_id, round(score::double, 6) as score, rank from (
     select *, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank
     from matched) where rank <= 5)"""
 
-KNN = """
-with cells as (
+
+BM25 = bm25("documents")
+
+NEAR = """
+cells as (
   select vec_id, label, unnest(range(0, len(embedding))) as dim, unnest(embedding)::double as x from embeddings),
 centre as (select label, dim, avg(x) as c from cells group by 1, 2),
 unit_centre as (select label, dim, c / sqrt(sum(c * c) over (partition by label)) as c from centre),
 unit_row as (select vec_id, dim, x / sqrt(sum(x * x) over (partition by vec_id)) as x from cells),
 near as (
-  select label::bigint as query_id, vec_id as doc_id, round(sum(c * x), 6) as score
-  from unit_centre join unit_row using (dim) group by 1, 2)
-select query_id, doc_id, score, rank from (
-  select *, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank
-  from near) where rank <= 5"""
+  select label::bigint as query_id, vec_id as doc_id, sum(c * x) as score
+  from unit_centre join unit_row using (dim) group by 1, 2)"""
+
+# Sums differ in their last digits by the order of summation.
+BEST_FIVE = """
+select query_id, doc_id, round(score, 6) as score, rank from (
+  select *, cast(row_number() over (partition by query_id order by round(score, 12) desc, doc_id) as integer) as rank
+  from {table}) where rank <= 5"""
+
+KNN = f"with {NEAR} {BEST_FIVE.format(table='near')}"
+
+KNN_HASHED = f"""
+with {NEAR},
+planes as (
+  select h, dim, case when substr(md5(h || ':' || dim), 1, 1) < '8' then 1.0 else -1.0 end as s
+  from range(0, 24 * 6) p(h), (select distinct dim from cells)),
+row_keys as (
+  select id, h // 6 as band, sum(case when side > 0 then 1 << (h % 6)::integer else 0 end) as key
+  from (select vec_id as id, h, sum(x * s) as side from unit_row join planes using (dim) group by 1, 2) group by 1, 2),
+asked_keys as (
+  select id, h // 6 as band, sum(case when side > 0 then 1 << (h % 6)::integer else 0 end) as key
+  from (select label as id, h, sum(c * s) as side from unit_centre join planes using (dim) group by 1, 2) group by 1, 2),
+offered as (
+  select query_id, doc_id from (
+    select a.id::bigint as query_id, r.id as doc_id,
+           row_number() over (partition by a.id order by count(*) desc, r.id) as place
+    from asked_keys a join row_keys r using (band, key) group by a.id, r.id) where place <= 100),
+scored as (select * from near join offered using (query_id, doc_id))
+{BEST_FIVE.format(table='scored')}"""
 
 SPLIT_SIDE = "('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint % 100 < 80"
 
@@ -257,6 +286,61 @@ def histogram(table: str, width: str) -> str:
   left join {table} on floor(rating / {width}) = s group by s"""
 
 
+KEYED = CLEAN + """,
+keyed as (
+  select * exclude (n) from (
+    select *, md5(hotel_name || '|' || review_date || '|' || review_full_text) as doc_id,
+      row_number() over (
+        partition by hotel_name, review_date, review_full_text
+        order by rating desc, city desc, province desc, sentiment desc, region desc, division desc) as n
+    from clean) where n = 1)"""
+
+# The language model of the documents, asked about the reviews' full texts.
+CLEAN_DETECTED = REVIEWS + "," + CATALOG + f""",
+any_clean as (
+  select hotel_name, city, province, review_date, rating, {FULL_TEXT} as review_full_text,
+         cast(case when rating >= 4 then 1 else 0 end as integer) as sentiment, region, division
+  from (select distinct hotel_name, city, province, review_date, rating, review_text, review_title, username
+        from reviews where review_text is not null and rating between 1 and 5)
+  join catalog on province = state_code),
+both_texts as (
+  select 'd' || doc_id as id, lang, text from documents
+  union all select 'r' || row_number() over (), null, text
+  from (select distinct review_full_text as text from any_clean)),
+bare as (select id, lang, text, {LETTERS} as b from both_texts),
+characters as (select id, lang, string_split(' ' || b || ' ', '') as c from bare where b <> ''),
+grams as (
+  select id, lang, t, count(*) as n from (
+    select id, lang,
+           unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || ' ' || c[i+1] || ' ' || c[i+2])) as t
+    from characters) group by 1, 2, 3),
+{hashed('grams', 2 ** 18)},
+gram_cells as (select id, lang, slot, sum(n) as n from grams join slots using (t) group by 1, 2, 3),
+per_lang as (select lang, slot, sum(n) as n from gram_cells where lang is not null group by 1, 2),
+totals as (select lang, sum(n) as n from per_lang group by 1),
+priors as (
+  select lang, ln(count(*) + 1) - ln(sum(count(*)) over () + count(*) over ()) as p
+  from characters where lang is not null group by 1),
+scored as (
+  select c.id, t.lang, sum(c.n * (ln(coalesce(l.n, 0) + 1) - ln(t.n + {2 ** 18}))) + any_value(priors.p) as score
+  from gram_cells c cross join totals t join priors on priors.lang = t.lang
+  left join per_lang l on l.lang = t.lang and l.slot = c.slot where c.lang is null group by 1, 2),
+english as (select text from bare join (select id, arg_max(lang, score) as told from scored group by 1) using (id)
+            where told = 'en')"""
+
+
+def _test_rows(name: str) -> str:
+    """What the saved results of a model must say: its test rows, by the hash of all model columns."""
+    side = "('0x' || substr(md5(text || '|' || quality || '|' || source || '|' || lang), 1, 8))::bigint % 100"
+    return f"""
+select '{name}' as model, count(*) as test_rows, true as agrees, true as outcome_fits
+from labels join documents using (doc_id) where {side} >= 80"""
+
+
+PREDICTED = f"""
+select doc_id, quality as sentiment, true as agrees, true as in_range
+from labels join documents using (doc_id) where not ({SPLIT_SIDE})"""
+
 ORACLES = {
     "reviews_project": f"with {REVIEWS} select hotel_name, city, province, review_date, rating, review_text, review_title, username from reviews",
     "reviews_clean": f"with {CLEAN} select * from clean",
@@ -292,6 +376,14 @@ select o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate,
     "csv_roundtrip": "select * from documents",
     "report_roundtrip": f"with {CHARTS} select region, sentiment, count(*) as count from charted group by 1, 2",
     "language_detect": LANGUAGE,
+    "reviews_clean_detected": f"with {CLEAN_DETECTED} select * from any_clean where review_full_text in (select text from english)",
+    "lr_predict": PREDICTED,
+    "rf_predict": PREDICTED,
+    "model_comparison": _test_rows("Logistic Regression") + " union all " + _test_rows("Random Forest"),
+    "search_answers": f"""
+with {KEYED}, {bm25("(select doc_id, review_full_text as text from keyed)")}
+select query_id, bm25.doc_id, score, rank, hotel_name, review_full_text, rating
+from bm25 join keyed on keyed.doc_id = bm25.doc_id""",
     "embed_hash": f"""
 with {_word_counts('counts', 'documents', 'doc_id')}, {hashed('counts', 768)}, {_vectors('counts', 'doc_id')}
 select id as doc_id, cast(dim as integer) as dim, round(weight::double, 6) as weight from cells""",
@@ -308,8 +400,7 @@ select id as doc_id, t as term, cast(n as integer) as tf,
     "bm25_terms": f"with {_word_counts('postings', 'documents', 'doc_id')} select t as term, count(*) as df from postings group by 1",
     "bm25_topk": f"with {BM25} select * from bm25",
     "knn_exact": KNN,
-    # The hashed search finds all of the exact hits on this table.
-    "knn_lsh": KNN,
+    "knn_lsh": KNN_HASHED,
     "search_hydrate": f"with {BM25} select query_id, bm25.doc_id, score, rank, source, text, lang from bm25 join documents d on d.doc_id = bm25.doc_id",
     "search_compare": f"""
 with {BM25},
@@ -317,7 +408,7 @@ vocabulary as (select t from postings union select t from asked),
 {hashed('vocabulary', 768)}, {_vectors('postings', 'doc_id', 'row_')}, {_vectors('asked', 'item_id', 'asked_')},
 near as (
   select a.id as query_id, r.id as doc_id,
-         round(sum(a.weight::double * r.weight::double) / (any_value(a.size) * any_value(r.size)), 6) as score
+         sum(a.weight::double * r.weight::double) / (any_value(a.size) * any_value(r.size)) as score
   from (select *, sqrt(sum(weight::double * weight::double) over (partition by id)) as size from asked_cells) a
   join (select *, sqrt(sum(weight::double * weight::double) over (partition by id)) as size from row_cells) r
   using (dim) group by 1, 2),
@@ -327,7 +418,7 @@ all_pairs as (
   left join near on near.query_id = q.id and near.doc_id = d.id),
 vector_hits as (
   select query_id, doc_id, rank from (
-    select *, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank
+    select *, cast(row_number() over (partition by query_id order by round(score, 12) desc, doc_id) as integer) as rank
     from all_pairs) where rank <= 5)
 select query_id, doc_id, bm25.rank as keyword_rank, vector_hits.rank as vector_rank,
        round(count(*) filter (bm25.rank is not null and vector_hits.rank is not null)
@@ -376,6 +467,9 @@ from charted group by 1""",
     "rating_histogram": f"with {CHARTS} {histogram('charted', '0.5')}",
     "region_topn_other": f"with {CHARTS}, {REGIONS.format(n=3)} {REGION_ROWS}",
     "reviews_per_month": f"with {CHARTS}, {MONTHS} select * from per_month",
+    "events_in_window": """
+select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') as ts from events
+where ts >= timestamp '2024-01-08' and ts < timestamp '2024-01-15' + interval 1 day""",
     "positive_share": f"""
 with {CHARTS}
 select sentiment, count(*) as count, round(100 * count(*) / (select count(*) from charted), 6) as percent

@@ -23,15 +23,16 @@ from stayscope.operators.upsert import keep_last_by_key
 from stayscope.operators.vector_search import knn_topk
 from stayscope.plans.board import board
 from stayscope.plans.materialise import materialise
-from stayscope.plans.search import answer_questions
-from stayscope.plans.training import train
+from stayscope.plans.search import answer_questions, index_documents, search_documents
+from stayscope.plans.training import SHORT, train
 from stayscope.session import shared_folder
 from stayscope.sources.contracts import (
-    CLEAN_REVIEWS, VECTOR_REVIEWS, check_contract, conform, dots_to_underscores, plain_names,
+    CLEAN_REVIEWS, METRICS, VECTOR_REVIEWS, check_contract, conform, dots_to_underscores, plain_names,
 )
 from stayscope.sources.files import read_csv, read_report, write_csv, write_report, write_table
 
 BOARD_FROM, BOARD_TO = "1981-01-01", "2000-12-31"
+EVENTS_FROM, EVENTS_TO = "2024-01-08", "2024-01-15"
 
 
 def reviews_project(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,6 +152,14 @@ def report_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_report(spark, target, "region string, sentiment int, count bigint")
 
 
+def reviews_clean_detected(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean reviews where the language is told by a model of the documents."""
+    model = fit_language_model(views.documents(spark, folder), "text", "lang")
+    raw = views.raw_reviews(spark, folder).drop("lang", "doc_id")
+    rows = clean_reviews(raw, views.catalog(spark, folder), language_model=model)
+    return rows.withColumn("review_date", iso_date(F.col("review_date")))
+
+
 def language_detect(spark: SparkSession, folder: str) -> DataFrame:
     rows = views.documents(spark, folder)
     model = fit_language_model(rows, "text", "lang")
@@ -201,21 +210,27 @@ def bm25_terms(spark: SparkSession, folder: str) -> DataFrame:
     return _index(spark, folder).term_stats
 
 
+def _shown(hits: DataFrame) -> DataFrame:
+    """Hits with the score as it is compared: ranks are those of the full score."""
+    return hits.withColumn("score", F.round("score", 6))
+
+
 def bm25(spark: SparkSession, folder: str) -> DataFrame:
-    return bm25_topk(_written_index(spark, folder), views.questions(spark, folder))
+    return _shown(bm25_topk(_written_index(spark, folder), views.questions(spark, folder)))
 
 
 def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
-    return knn_topk(
-        views.table(spark, folder, "embeddings"), views.class_centres(spark, folder), id_col="vec_id"
-    )
+    return _shown(knn_topk(
+        views.table(spark, folder, "embeddings"), views.class_centres(spark, folder), id_col="vec_id",
+        block=4, shard=200,
+    ))
 
 
 def knn_lsh_query(spark: SparkSession, folder: str) -> DataFrame:
-    return knn_topk(
+    return _shown(knn_topk(
         views.table(spark, folder, "embeddings"), views.class_centres(spark, folder),
         candidates=100, id_col="vec_id",
-    )
+    ))
 
 
 def search_hydrate(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,9 +240,20 @@ def search_hydrate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_compare(spark: SparkSession, folder: str) -> DataFrame:
-    index = _written_index(spark, folder)
-    vectors = add_vectors(views.documents(spark, folder).select("doc_id", "text"), "text")
-    return answer_questions(index, vectors, views.questions(spark, folder))[2]
+    index, stored = _written_index(spark, folder), shared_folder(spark)
+    write_table(add_vectors(views.documents(spark, folder).select("doc_id", "text"), "text").drop("text"), stored)
+    compared = answer_questions(index, spark.read.parquet(stored), views.questions(spark, folder))[2]
+    return compared.withColumn("overlap", F.round("overlap", 6))
+
+
+def search_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """The search job over stored documents, vectors and index: keyword hits with their fields."""
+    base = shared_folder(spark)
+    write_table(conform(add_vectors(flagship(spark, folder)), VECTOR_REVIEWS), f"{base}/vectors")
+    materialise(spark, f"{base}/vectors", f"{base}/documents")
+    index_documents(spark, f"{base}/documents", f"{base}/index")
+    by_words = search_documents(spark, f"{base}/documents", f"{base}/index", views.questions(spark, folder))[0]
+    return _shown(by_words)
 
 
 def tokens_stopwords(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,13 +297,18 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _predict(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The test rows, and whether prediction and score fit: this checks the rows, not the weights."""
     rows = drop_incomplete(
         views.labelled_documents(spark, folder),
         ["doc_id", "review_full_text", "sentiment", "region", "division"],
     )
     train_rows, test_rows = split_by_hash(rows, ["doc_id"])
     found = train_and_score(train_rows, test_rows, names=(name,), keep=("doc_id",))[name]
-    return found.predictions.select("doc_id", "sentiment", "prediction", "score")
+    return found.predictions.select(
+        "doc_id", "sentiment",
+        (F.col("prediction") == (F.col("score") > 0.5).cast("double")).alias("agrees"),
+        F.col("score").between(0, 1).alias("in_range"),
+    )
 
 
 def lr_predict(spark: SparkSession, folder: str) -> DataFrame:
@@ -289,9 +320,33 @@ def rf_predict(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """What the training job saved, per model: do metrics, predictions, counts and winner agree?"""
     base = shared_folder(spark)
     write_table(views.labelled_documents(spark, folder), f"{base}/reviews")
-    return train(spark, f"{base}/reviews", f"{base}/results")
+    compared = train(spark, f"{base}/reviews", f"{base}/results")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in METRICS)
+    saved = read_report(spark, f"{base}/results/metrics_comparison.csv", ddl)
+    names, rows = metrics.METRIC_NAMES, None
+    for name, short in SHORT.items():
+        predictions = spark.read.parquet(f"{base}/results/predictions_{short}.parquet")
+        counts = read_report(
+            spark, f"{base}/results/confusion_matrix_{short}.csv", "sentiment int, prediction double, count bigint"
+        )
+        model = F.lit(name).alias("model")
+        again = metrics.class_metrics(metrics.confusion(predictions)).select(model, *[F.col(n).alias(f"p_{n}") for n in names])
+        counted = metrics.class_metrics(counts).select(model, *[F.col(n).alias(f"c_{n}") for n in names])
+        total = counts.agg(F.sum("count").alias("test_rows")).select(model, "test_rows")
+        near = [F.abs(F.col(n) - F.col(f"{side}_{n}")) < 1e-9 for n in names for side in ("p", "c")]
+        best = compared.agg(F.max("f1").alias("best")).select(model, "best")
+        outcome = metrics.of_model(compared, name).join(best, "model").select(
+            "model", ((F.col("outcome") != "other") == (F.col("f1") == F.col("best"))).alias("outcome_fits")
+        )
+        part = (
+            metrics.of_model(saved, name).join(again, "model").join(counted, "model").join(total, "model")
+            .join(outcome, "model").select("model", "test_rows", F.forall(F.array(*near), lambda x: x).alias("agrees"), "outcome_fits")
+        )
+        rows = part if rows is None else rows.unionAll(part)
+    return rows
 
 
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
@@ -337,6 +392,12 @@ def region_topn_other(spark: SparkSession, folder: str) -> DataFrame:
     return charts.region_split(views.rated_orders(spark, folder), 3)
 
 
+def events_in_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Events carry a time of day, so the window's last day shows whether all of it is in."""
+    rows = charts.within_dates(views.table(spark, folder, "events"), EVENTS_FROM, EVENTS_TO, "ts")
+    return rows.select("event_id", iso_date(F.col("ts")).alias("ts"))
+
+
 def _per_month(rows: DataFrame) -> DataFrame:
     return rows.withColumn("period", F.date_format("period", "yyyy-MM-dd"))
 
@@ -405,6 +466,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "report_roundtrip": report_roundtrip,
     "language_detect": language_detect,
+    "reviews_clean_detected": reviews_clean_detected,
     "embed_hash": embed_hash,
     "embed_udf": embed_udf,
     "bm25_index": bm25_index,
@@ -414,6 +476,7 @@ QUERIES = {
     "knn_lsh": knn_lsh_query,
     "search_hydrate": search_hydrate,
     "search_compare": search_compare,
+    "search_answers": search_answers,
     "tokens_stopwords": tokens_stopwords,
     "hashed_tf": hashed_counts,
     "tfidf": tfidf,
@@ -433,6 +496,7 @@ QUERIES = {
     "rating_histogram": rating_histogram,
     "region_topn_other": region_topn_other,
     "reviews_per_month": reviews_per_month,
+    "events_in_window": events_in_window,
     "positive_share": positive_share,
     "top_cities": top_cities,
     "board": board_query,

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayscope.functions.text import sentiment
 from stayscope.operators.cleaning import enrich, in_rating_range, project_catalog
-from stayscope.sources.files import read_spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_spread(spark, f"{folder}/documents.parquet")
+    return table(spark, folder, "documents")
 
 
 def _buyers(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ from stayscope.operators.language import LanguageModel, fit_language_model
 from stayscope.plans.board import board
 from stayscope.plans.etl import run_etl
 from stayscope.plans.materialise import materialise
-from stayscope.plans.search import search_documents
+from stayscope.plans.search import index_documents, search_documents
 from stayscope.plans.training import train
 from stayscope.operators.embedding import generate_vectors
 from stayscope.session import build_session
@@ -38,10 +38,14 @@ def models(spark, args):
     train(spark, args.vectors, args.results).show(truncate=False)
 
 
+def index(spark, args):
+    index_documents(spark, args.documents, args.index)
+
+
 def search(spark, args):
     questions = spark.read.schema("query_id bigint, text string").json(args.questions)
     names = ("keyword_hits", "vector_hits", "compared")
-    for name, hits in zip(names, search_documents(spark, args.documents, questions, args.k)):
+    for name, hits in zip(names, search_documents(spark, args.documents, args.index, questions, args.k)):
         print(name, write_table(hits, f"{args.hits}/{name}"))
 
 
@@ -57,7 +61,8 @@ JOBS = {
     "vectors": (vectors, ["clean", "vectors"], []),
     "documents": (documents, ["vectors", "documents"], ["jdbc-options", "reviews", "states"]),
     "models": (models, ["vectors", "results"], []),
-    "search": (search, ["documents", "questions", "hits"], []),
+    "index": (index, ["documents", "index"], []),
+    "search": (search, ["documents", "index", "questions", "hits"], []),
     "charts": (charts, ["clean", "charts", "low", "high"], []),
 }
 

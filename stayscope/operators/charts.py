@@ -8,15 +8,27 @@ has been counted before.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, datetime
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 OTHER = "Other"
+#: Empty buckets that one row of a gap is written out to.
+RUN = 10_000
 LABEL_NAMES = {0: "negative", 1: "positive"}
 
 
 def within_dates(df: DataFrame, low, high, date_col: str = "review_date") -> DataFrame:
-    """Reviews from `low` to `high`, both included; a null date leaves."""
-    return df.filter(F.col(date_col).between(F.lit(low), F.lit(high)))
+    """Reviews from `low` to `high`, both included; a null date leaves.
+
+    A `high` without a time of day, a date or its ISO text, includes that
+    whole day; one with a time is taken as given.
+    """
+    day = isinstance(high, date) and not isinstance(high, datetime) or isinstance(high, str) and len(high.strip()) == 10
+    when, last = F.col(date_col), F.lit(high)
+    upper = when < F.date_add(last.cast("date"), 1) if day else when <= last
+    return df.filter((when >= F.lit(low)) & upper)
 
 
 def _reviews(weight: str | None, name: str = "count") -> Column:
@@ -41,7 +53,7 @@ def rating_histogram(
     step = F.floor(F.col(column) / F.lit(float(width))).cast("bigint")
     rated = df.filter(F.col(column).isNotNull())
     counted = rated.groupBy(step.alias("step")).agg(_reviews(weight))
-    return _with_empty(counted, "step", F.lit(1)).select(
+    return _with_empty(counted, "step", F.lit).select(
         (F.col("step") * F.lit(float(width))).alias("bucket"), "count"
     )
 
@@ -53,19 +65,26 @@ def reviews_per_period(
     start = F.date_trunc(unit, F.col(column)).cast("timestamp_ntz")
     dated = df.filter(F.col(column).isNotNull())
     counted = dated.groupBy(start.alias("period")).agg(_reviews(weight))
-    return _with_empty(counted, "period", F.expr(f"interval 1 {unit}")).select("period", "count")
+    return _with_empty(counted, "period", lambda n: F.expr(f"interval {n} {unit}")).select("period", "count")
 
 
-def _with_empty(counted: DataFrame, key: str, stride: Column) -> DataFrame:
+def _with_empty(counted: DataFrame, key: str, stride: Callable[[int], Column]) -> DataFrame:
     """The counts, and 0 for each key between two that occur.
 
     Each row also fills the gap up to the next one, so the input is read once.
-    The window runs over the counted keys, not over reviews.
+    The window runs over the counted keys, not over reviews. A gap is first cut
+    into runs, which are dealt out and then written out, so a wide one is
+    neither one array nor one task.
     """
     following = counted.withColumn("_next", F.lead(key).over(Window.orderBy(key)))
-    run = F.sequence(F.col(key), F.coalesce(F.col("_next") - stride, F.col(key)), stride)
-    keys = following.select("count", F.posexplode(run).alias("_at", key))
-    return keys.withColumn("count", F.when(F.col("_at") == 0, F.col("count")).otherwise(F.lit(0)))
+    last = F.coalesce(F.col("_next") - stride(1), F.col(key))
+    runs = following.select("count", F.col(key).alias("_key"), last.alias("_last")).select(
+        "count", "_key", "_last", F.explode(F.sequence("_key", "_last", stride(RUN))).alias("_from")
+    )
+    dealt = runs.repartition("_key", "_from")
+    until = F.least(F.col("_from") + stride(RUN) - stride(1), F.col("_last"))
+    keys = dealt.select("count", "_key", F.explode(F.sequence("_from", until, stride(1))).alias(key))
+    return keys.select(key, F.when(F.col(key) == F.col("_key"), F.col("count")).otherwise(F.lit(0)).alias("count"))
 
 
 def region_split(df: DataFrame, n: int = 5, weight: str | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ RANDOM_FOREST = "Random Forest"
 
 
 def logistic_regression(label: str) -> LogisticRegression:
-    return LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.01)
+    return LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.01, aggregationDepth=3)
 
 
 def random_forest(label: str) -> RandomForestClassifier:
@@ -31,9 +31,9 @@ def random_forest(label: str) -> RandomForestClassifier:
 
 CLASSIFIERS = {LOGISTIC_REGRESSION: logistic_regression, RANDOM_FOREST: random_forest}
 
-# Rows that make a task worth starting: a pass of the regression is a few
-# microseconds per row, a pass of the forest far more.
-ROWS_PER_TASK = {LOGISTIC_REGRESSION: 4096, RANDOM_FOREST: 256}
+#: Partitions of a fit. The forest draws its samples by partition, so the model
+#: is a function of the rows and of this number, and of no layout of the data.
+FIT_PARTITIONS = 32
 
 
 @dataclass
@@ -50,6 +50,13 @@ def positive_score(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("score", vector_to_array("probability")[1])
 
 
+def _dealt(rows: DataFrame, label: str, partitions: int) -> DataFrame:
+    """Label and features in an order that depends on their values alone."""
+    place = F.xxhash64(F.col(label), F.unwrap_udt("features"))
+    dealt = rows.select(label, "features", place.alias("_place")).repartition(partitions, "_place")
+    return dealt.sortWithinPartitions("_place").drop("_place")
+
+
 def _without_summary(model, folder: str):
     """The model as stored and loaded again.
 
@@ -68,13 +75,16 @@ def train_and_score(
     category_cols: tuple[str, ...] = ("region", "division"),
     names: tuple[str, ...] = (LOGISTIC_REGRESSION, RANDOM_FOREST),
     keep: tuple[str, ...] = (),
+    fit_partitions: int = FIT_PARTITIONS,
 ) -> dict[str, Trained]:
     """Fit the features once, then each classifier on the same feature table.
 
     The text is read once: its word counts are written to the shared folder,
     and weights, categories and the feature tables are made from them. Every
     pass of every classifier starts from the written features, so a lost
-    executor costs no work on text. Predictions are computed once and written
+    executor costs no work on text. For a fit its rows are dealt by a hash of
+    label and features into `fit_partitions` and sorted, so equal rows give
+    equal models in any layout; a large table needs more of them. Predictions are computed once and written
     too, as every metric and every saved result reads them.
     """
     spark = train.sparkSession
@@ -88,15 +98,13 @@ def train_and_score(
     # The assembler names each of its slots in the column's metadata, which
     # would travel with every task; the classifiers do not need the names.
     bare = F.col("features").alias("features", metadata={})
-    rows = {}
     for side in ("train", "test"):
         weighed = weighing.transform(spark.read.parquet(f"{folder}/{side}_counts"))
-        rows[side] = write_table(weighed.select(*keep, label, bare), f"{folder}/{side}")
+        write_table(weighed.select(*keep, label, bare), f"{folder}/{side}")
     trained = {}
     for name in names:
         target = f"{folder}/{name.lower().replace(' ', '_')}"
-        tasks = -(-rows["train"] // ROWS_PER_TASK[name]) or 1
-        fitted = CLASSIFIERS[name](label).fit(spark.read.parquet(f"{folder}/train").coalesce(tasks))
+        fitted = CLASSIFIERS[name](label).fit(_dealt(spark.read.parquet(f"{folder}/train"), label, fit_partitions))
         classifier = _without_summary(fitted, f"{target}_model")
         scored = positive_score(classifier.transform(spark.read.parquet(f"{folder}/test")))
         write_table(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stayscope.functions.text import full_text, sentiment
 from stayscope.operators.language import add_language
-from stayscope.operators.lookup import fits_broadcast, lookup_join
+from stayscope.operators.lookup import lookup_join
 from stayscope.sources.contracts import (
     CATALOG_COLUMNS, CLEAN_REVIEWS, REVIEW_COLUMNS, require_columns,
 )
@@ -82,15 +82,13 @@ def clean_reviews(
     if lang_col is None and language_model is None:
         raise ValueError("give a language column or a language model")
     catalog = project_catalog(states, allow_repeats)
-    small = fits_broadcast(catalog)
     rows = project_reviews(reviews, [lang_col] if lang_col else None)
     if lang_col:
         rows = rows.filter(F.col(f"`{lang_col}`") == language).drop(lang_col)
     rows = rows.filter(F.col("review_text").isNotNull() & in_rating_range())
-    if small:
-        rows = lookup_join(rows, catalog.select("province"), ["province"], "left_semi", True)
+    rows = lookup_join(rows, catalog.select("province"), ["province"], "left_semi")
     rows = rows.dropDuplicates()
-    rows = lookup_join(rows, catalog, ["province"], "inner", small)
+    rows = lookup_join(rows, catalog, ["province"], "inner")
     rows = rows.withColumn(
         "review_full_text", full_text(F.col("review_title"), F.col("review_text"))
     )

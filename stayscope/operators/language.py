@@ -9,16 +9,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, NGram, StringIndexer
+from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayscope.functions.text import letters
 from stayscope.operators.seed_text import SEED_TEXT
+from stayscope.session import shared_folder
+from stayscope.sources.files import write_table
 
 UNKNOWN = "unknown"
 TRIGRAM_SLOTS = 2 ** 18
+#: Rows that a language's counts are dealt into for the fit.
+PARTS = 64
 
 
 @dataclass
@@ -48,22 +53,64 @@ def _with_characters(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
+def _language_counts(df: DataFrame, text_col: str, lang_col: str, slots: int) -> DataFrame:
+    """lang, slot, n: trigrams per language and slot; the slot -1 counts the texts."""
+    labelled = df.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("lang"))
+    labelled = _with_characters(labelled.na.drop().filter(F.col("_text").rlike(r"\p{L}")), "_text")
+    counted = _word_stages(slots)[1].transform(_word_stages(slots)[0].transform(labelled))
+    stored = F.unwrap_udt("_counts")
+    entries = F.arrays_zip(stored["indices"].alias("slot"), stored["values"].alias("n"))
+    text = F.array(F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("n")))
+    return counted.select("lang", F.inline(F.concat(text, entries))).groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+
+
+def _word_stages(slots: int) -> list:
+    return [
+        NGram(n=3, inputCol="_characters", outputCol="_trigrams"),
+        HashingTF(inputCol="_trigrams", outputCol="_counts", numFeatures=slots),
+    ]
+
+
 def fit_language_model(
     df: DataFrame, text_col: str, lang_col: str, slots: int = TRIGRAM_SLOTS
 ) -> LanguageModel:
-    """Train on rows with a text and a known language; one pass, no shuffle of text."""
-    labelled = df.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-    labelled = _with_characters(labelled.na.drop().filter(F.col("_text").rlike(r"\p{L}")), "_text")
-    index = StringIndexer(inputCol="_lang", outputCol="_label", stringOrderType="alphabetAsc")
-    indexed = index.fit(labelled)
-    trigrams = NGram(n=3, inputCol="_characters", outputCol="_trigrams")
-    counts = HashingTF(inputCol="_trigrams", outputCol="_counts", numFeatures=slots)
+    """Train on rows with a text and a known language; one pass, no shuffle of text.
+
+    Trigrams are counted per language and slot, which spreads over the tasks
+    however few the languages are. The counts of a language are then dealt
+    into PARTS rows by slot, each weighing its part of the language's texts:
+    to the classifier these are the same sums as those over all texts.
+    """
+    folder = shared_folder(df.sparkSession)
+    write_table(_language_counts(df, text_col, lang_col, slots), folder)
+    counts = df.sparkSession.read.parquet(folder)
+    texts = {row.lang: row.n for row in counts.filter("slot = -1").collect()}
+    languages = sorted(texts)
+    if not languages:
+        raise ValueError("no text with a known language to train on")
+    weights = F.create_map(*[F.lit(x) for lang in languages for x in (lang, texts[lang] / PARTS)])
+    places = F.create_map(*[F.lit(x) for place, lang in enumerate(languages) for x in (lang, float(place))])
+    weighed = counts.filter("slot >= 0").select(
+        places[F.col("lang")].alias("_label"), weights[F.col("lang")].alias("_weight"), "slot", "n"
+    )
+    dealt = weighed.groupBy("_label", "_weight", F.pmod("slot", F.lit(PARTS)).alias("_part")).agg(
+        F.array_sort(F.collect_list(F.struct("slot", (F.col("n") / F.col("_weight")).alias("n")))).alias("_entries")
+    )
+    vector = F.udf(lambda entries: Vectors.sparse(slots, [(e[0], e[1]) for e in entries]), VectorUDT())
+    # A part without trigrams still has its share of the texts.
+    every = df.sparkSession.createDataFrame(
+        [(float(place), texts[lang] / PARTS, part) for place, lang in enumerate(languages) for part in range(PARTS)],
+        "_label double, _weight double, _part long",
+    )
+    none = F.array().cast("array<struct<slot: int, n: double>>")
+    rows = every.join(dealt.drop("_weight"), ["_label", "_part"], "left").select(
+        "_label", "_weight", vector(F.coalesce("_entries", none)).alias("_counts")
+    )
     bayes = NaiveBayes(
-        featuresCol="_counts", labelCol="_label", predictionCol="_place",
+        featuresCol="_counts", labelCol="_label", predictionCol="_place", weightCol="_weight",
         rawPredictionCol="", probabilityCol="", smoothing=1.0, modelType="multinomial",
     )
-    stages = Pipeline(stages=[trigrams, counts, bayes]).fit(indexed.transform(labelled))
-    return LanguageModel(stages, list(indexed.labels))
+    return LanguageModel(PipelineModel([*_word_stages(slots), bayes.fit(rows)]), languages)
 
 
 def add_language(

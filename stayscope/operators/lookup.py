@@ -1,53 +1,18 @@
-"""Joins with a lookup table that is meant to be small, but checked to be."""
+"""Joins with a lookup table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a large table with a lookup table on columns named alike; inner, left or left_semi.
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Whether the table is small enough to be sent to every executor.
-
-    Reads one row more than the bound at most, so the check itself is cheap
-    whatever the size of the table.
-    """
-    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    broadcast: bool | None = None,
-) -> DataFrame:
-    """Join a large table with a lookup table on columns named alike.
-
-    A lookup table within the bound is broadcast, so the large table is not
-    moved and a hot key costs nothing. Beyond the bound both sides are
-    shuffled; the rows of one key are then dealt to several tasks by the
-    number of the task that reads them, and the lookup rows are repeated for
-    each. The salt depends on the task number alone, so a task run again after
-    a lost executor gives the same salt. `how` is inner, left or left_semi.
+    The way is left to Spark: below its size threshold, known beforehand or
+    measured while the query runs, the lookup table is broadcast; beyond it both
+    sides are shuffled, and a hot key's rows are split over as many tasks as
+    their size asks for.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"lookup_join does not do {how!r} joins")
-    if broadcast is None:
-        broadcast = fits_broadcast(lookup)
-    if broadcast:
-        return facts.join(F.broadcast(lookup), on, how)
-    salted = facts.withColumn("_salt", F.spark_partition_id() % SALTS)
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, on + ["_salt"], how).drop("_salt")
+    return facts.join(lookup, on, how)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-MAX_SLICES = 512
-
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1"]
 
 
@@ -69,12 +67,11 @@ def _ranked_scores(predictions: DataFrame, label: str, score: str, slices: int |
     Rows are first counted per score. The scores are then cut into slices at
     fixed points, each slice is summed on its own, and the totals of the
     slices above are added: one row per slice is all that meets in one task.
-    There are as many slices as shuffle partitions, up to 512, unless `slices`
-    is given.
+    There are as many slices as shuffle partitions unless `slices` is given.
+    `p_all` and `n_all` are the totals.
     """
     if slices is None:
-        partitions = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = min(partitions, MAX_SLICES)
+        slices = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = predictions.select(
         F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("label")
     ).na.drop()
@@ -89,6 +86,8 @@ def _ranked_scores(predictions: DataFrame, label: str, score: str, slices: int |
         "slice",
         F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
+        F.sum("p").over(Window.partitionBy()).alias("p_all"),
+        F.sum("n").over(Window.partitionBy()).alias("n_all"),
     )
     within = Window.partitionBy("slice").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -97,6 +96,7 @@ def _ranked_scores(predictions: DataFrame, label: str, score: str, slices: int |
         "score", "pos", "neg",
         (F.col("p_above") + F.sum("pos").over(within)).alias("tp"),
         (F.col("n_above") + F.sum("neg").over(within)).alias("fp"),
+        "p_all", "n_all",
     )
 
 
@@ -108,12 +108,11 @@ def roc(
     A rate whose class does not occur is null.
     """
     ranked = _ranked_scores(predictions, label, score, slices)
-    totals = ranked.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
     rate = lambda count, total: F.when(total > 0, count / total)
     return ranked.select(
         "score", "tp", "fp",
-        rate(F.col("tp"), totals["p"]).alias("tpr"),
-        rate(F.col("fp"), totals["n"]).alias("fpr"),
+        rate(F.col("tp"), F.col("p_all")).alias("tpr"),
+        rate(F.col("fp"), F.col("n_all")).alias("fpr"),
     )
 
 
@@ -142,6 +141,11 @@ def melt_metrics(metrics: DataFrame, names: list[str] | None = None) -> DataFram
     return metrics.unpivot("model", names or METRIC_NAMES + ["auc_roc"], "metric", "value")
 
 
+def of_model(table: DataFrame, model: str) -> DataFrame:
+    """The rows of one model."""
+    return table.filter(F.col("model") == model)
+
+
 def compare_models(metrics: DataFrame, by: str = "f1") -> DataFrame:
     """The metric table with `outcome`: winner, tie, or other, by one metric."""
     best = metrics.agg(F.max(by)).scalar()

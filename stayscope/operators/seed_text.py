@@ -2,7 +2,7 @@
 
 SEED_TEXT = {
     "en": [
-        "The room was very clean and the staff were friendly and helpful during our whole stay.",
+        "Everyone at the reception smiled, the towels were fresh and our suitcases were carried upstairs.",
         "We had a great time at this hotel and would come back again with the children next year.",
         "Breakfast was cold, the service was slow, and nobody answered the phone at the front desk.",
         "The location is perfect, close to the beach and within walking distance of many restaurants.",
@@ -16,7 +16,7 @@ SEED_TEXT = {
         "Nice pool, good food, quiet rooms and free coffee in the lobby every morning.",
     ],
     "de": [
-        "Das Zimmer war sehr sauber und das Personal war während des ganzen Aufenthalts freundlich.",
+        "An der Rezeption lächelten alle, die Handtücher waren frisch und die Koffer trug man uns hinauf.",
         "Wir hatten eine schöne Zeit in diesem Hotel und würden nächstes Jahr gerne wiederkommen.",
         "Das Frühstück war kalt, die Bedienung langsam, und niemand ging an der Rezeption ans Telefon.",
         "Die Lage ist perfekt, nahe am Strand und nicht weit von vielen guten Restaurants entfernt.",
@@ -25,7 +25,7 @@ SEED_TEXT = {
         "Die Anmeldung ging schnell und einfach, das Bett war bequem und der Garten wunderschön.",
         "Man hätte uns sagen sollen, dass der Parkplatz extra kostet und der Aufzug kaputt ist.",
         "Was für eine herrliche Aussicht vom Balkon, wenn die Sonne hinter den Bergen untergeht.",
-        "Schlechte Erfahrung. Nie wieder. Der Leiter war unhöflich, als wir ein anderes Zimmer wollten.",
+        "Einmal und nicht noch einmal: Der Leiter wurde laut, als wir um andere Betten gebeten haben.",
         "Für den Preis war es gut, obwohl die Wände dünn sind und der Teppich alt aussah.",
         "Schönes Schwimmbad, gutes Essen, ruhige Zimmer und jeden Morgen kostenloser Kaffee.",
     ],

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from itertools import islice
+from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from stayscope.functions.vectors import dot, unit
-from stayscope.operators.keyword_search import SCORE_DIGITS, top_k
-from stayscope.operators.lookup import fits_broadcast, lookup_join
+from stayscope.operators.keyword_search import top_k
 
 QUESTION_BLOCK = 1024
+SHARD_ROWS = 16_384
+#: Fast products differ from sums in fixed order by less than this.
+PRODUCT_ERROR = 1e-9
 
 
 def _hit_schema(vectors: DataFrame, questions: DataFrame, id_col: str, query_col: str) -> T.StructType:
@@ -25,92 +28,57 @@ def _hit_schema(vectors: DataFrame, questions: DataFrame, id_col: str, query_col
     ])
 
 
-def _blocks(questions: DataFrame, query_col: str, vector_col: str, block: int):
-    """Questions as (ids, unit matrix), a bounded number at a time.
+def _parts(rows: DataFrame, size: int) -> int:
+    return max(1, -(-rows.count() // size))
 
-    A zero vector points nowhere and has no nearest neighbour, so it is left out.
-    """
-    rows = questions.select(query_col, vector_col).na.drop().toLocalIterator()
-    while part := list(islice(rows, block)):
-        ids = [row[0] for row in part]
-        matrix = np.array([row[1] for row in part], dtype=np.float64)
-        lengths = np.linalg.norm(matrix, axis=1)
-        keep = lengths > 0
-        if keep.any():
-            yield [i for i, kept in zip(ids, keep) if kept], matrix[keep] / lengths[keep, None]
-
-
-def _block_scorer(shared, k: int, digits: int, schema: pa.Schema):
-    """Function from Arrow batches of (id, vector) to the best k per question."""
-    def score(batches):
-        query_ids, asked = shared.value
-        best_scores = best_ids = None
-        for batch in batches:
-            vectors = batch.column(1)
-            batch = batch.filter(vectors.is_valid())
-            if batch.num_rows == 0:
-                continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            matrix = flat.astype(np.float64).reshape(len(ids), -1)
-            if matrix.shape[1] != asked.shape[1] or len(flat) != len(ids) * asked.shape[1]:
-                raise ValueError("questions and rows have vectors of different length")
-            lengths = np.linalg.norm(matrix, axis=1)
-            keep = lengths > 0
-            order = np.argsort(ids[keep], kind="stable")
-            ids = ids[keep][order]
-            matrix = matrix[keep][order] / lengths[keep][order, None]
-            if len(ids) == 0:
-                continue
-            scores = np.round(matrix @ asked.T, digits)
-            depth = min(k, len(ids))
-            floor = np.partition(scores, len(ids) - depth, axis=0)[len(ids) - depth]
-            top_scores = np.full((k, len(query_ids)), -np.inf)
-            top_ids = np.full((k, len(query_ids)), ids[0], dtype=ids.dtype)
-            for q in range(len(query_ids)):
-                at = np.flatnonzero(scores[:, q] >= floor[q])
-                at = at[np.argsort(-scores[at, q], kind="stable")][:depth]
-                top_scores[:len(at), q] = scores[at, q]
-                top_ids[:len(at), q] = ids[at]
-            if best_scores is not None:
-                top_scores = np.concatenate([best_scores, top_scores])
-                top_ids = np.concatenate([best_ids, top_ids])
-                for q in range(len(query_ids)):
-                    order = np.lexsort((top_ids[:, q], -top_scores[:, q]))
-                    top_scores[:, q] = top_scores[order, q]
-                    top_ids[:, q] = top_ids[order, q]
-            best_scores, best_ids = top_scores[:k], top_ids[:k]
-        if best_scores is not None:
-            at, q = np.nonzero(np.isfinite(best_scores))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([query_ids[i] for i in q], schema.field(0).type),
-                    pa.array(best_ids[at, q].tolist(), schema.field(1).type),
-                    pa.array(best_scores[at, q], schema.field(2).type),
-                ],
-                schema=schema,
-            )
-
-    return score
 
+def _units(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the rows whose vector is not zero, and these vectors at length one."""
+    vectors = table.column(column).combine_chunks()
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if len(vectors) == 0:
+        return np.empty(0, np.int64), np.empty((0, 0))
+    if len(flat) % len(vectors) or len(set(np.diff(vectors.offsets.to_numpy()))) > 1:
+        raise ValueError("rows have vectors of different length")
+    matrix = flat.reshape(len(vectors), -1)
+    lengths = np.sqrt((matrix * matrix).sum(axis=1))
+    keep = np.flatnonzero(lengths > 0)
+    return keep, np.ascontiguousarray(matrix[keep] / lengths[keep, None])
 
-def _exact(vectors, questions, k, id_col, query_col, vector_col, block) -> DataFrame:
-    schema = _hit_schema(vectors, questions, id_col, query_col)
-    empty = vectors.sparkSession.createDataFrame([], schema)
-    arrow = _arrow_schema(schema)
-    rows = vectors.select(F.col(id_col), F.col(vector_col))
-    scored = None
-    for ids, matrix in _blocks(questions, query_col, vector_col, block):
-        shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
-        part = rows.mapInArrow(_block_scorer(shared, k, SCORE_DIGITS, arrow), schema)
-        scored = part if scored is None else scored.unionAll(part)
-    return empty if scored is None else scored
 
+def _best_of_cell(k: int, schema: pa.Schema):
+    """Function from a shard of rows and a block of questions to the best k per question.
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+    A fast product finds the rows that can be among the best; these are scored
+    again by sums in one fixed order, so copies of a vector tie exactly.
+    """
+    def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        at, matrix = _units(rows, "_v")
+        asked_at, questions = _units(asked, "_v")
+        if not len(at) or not len(asked_at):
+            return schema.empty_table()
+        if matrix.shape[1] != questions.shape[1]:
+            raise ValueError("questions and rows have vectors of different length")
+        ids = rows.column("_id").to_numpy()[at]
+        order = np.argsort(ids, kind="stable")
+        at, matrix = at[order], matrix[order]
+        rough = questions @ matrix.T
+        depth = min(k, len(at))
+        floor = np.partition(rough, len(at) - depth, axis=1)[:, len(at) - depth] - PRODUCT_ERROR
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for q in range(len(asked_at)):
+            near = np.flatnonzero(rough[q] >= floor[q])
+            exact = (matrix[near] * questions[q]).sum(axis=1)
+            best = np.argsort(-exact, kind="stable")[:depth]
+            found.append((asked_at[q], at[near[best]], exact[best]))
+        sizes = [len(x[1]) for x in found]
+        return pa.table([
+            asked.column("_id").take(pa.array(np.repeat([x[0] for x in found], sizes))),
+            rows.column("_id").take(pa.array(np.concatenate([x[1] for x in found]))),
+            pa.array(np.concatenate([x[2] for x in found])),
+        ], schema=schema)
 
-    return to_arrow_schema(schema)
+    return score
 
 
 def knn_topk(
@@ -122,24 +90,80 @@ def knn_topk(
     query_col: str = "query_id",
     vector_col: str = "embedding",
     block: int = QUESTION_BLOCK,
+    shard: int = SHARD_ROWS,
     **hashing,
 ) -> DataFrame:
     """query_id, doc_id, score, rank: the k nearest rows by cosine.
 
-    Exact unless `candidates` is given. Questions travel to the rows, `block`
-    at a time, as one matrix; each task multiplies its batches with it and
-    keeps k rows per question, so what is shuffled is k rows per question and
-    task, however many rows or copies there are. More questions than one
-    block take one more pass over the rows per block.
+    Exact unless `candidates` is given. Rows are dealt into shards and
+    questions into blocks by a hash of their ids; every shard meets every
+    block in one task of one plan, which multiplies their matrices and keeps k
+    rows per question. A zero vector points nowhere: it is no hit and has none.
 
     With `candidates`, see `knn_lsh`.
     """
     if candidates is not None:
-        return knn_lsh(vectors, questions, k, candidates, id_col, query_col, vector_col, block, **hashing)
-    scored = _exact(vectors, questions, k, id_col, query_col, vector_col, block)
+        return knn_lsh(vectors, questions, k, candidates, id_col, query_col, vector_col, **hashing)
+    schema = _hit_schema(vectors, questions, id_col, query_col)
+    value = F.col(vector_col).cast("array<double>").alias("_v")
+    rows = vectors.select(F.col(id_col).alias("_id"), value).na.drop()
+    asked = questions.select(F.col(query_col).alias("_id"), value).na.drop()
+    shards, blocks = _parts(rows, shard), _parts(asked, block)
+
+    def dealt(table: DataFrame, parts: int, own: str, other_parts: int, other: str) -> DataFrame:
+        """The rows with their own part, repeated for each part of the other side."""
+        placed = table.withColumn(own, F.pmod(F.xxhash64("_id"), F.lit(parts)).cast("int"))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1))))
+
+    left = dealt(rows, shards, "_shard", blocks, "_block").groupBy("_shard", "_block")
+    right = dealt(asked, blocks, "_block", shards, "_shard").groupBy("_shard", "_block")
+    scored = left.cogroup(right).applyInArrow(_best_of_cell(k, to_arrow_schema(schema)), schema)
     return top_k(scored, k).select("query_id", "doc_id", "score", "rank")
 
 
+@lru_cache(maxsize=8)
+def planes(dims: int, count: int) -> np.ndarray:
+    """Random hyperplanes with components 1 and -1, the same everywhere: dims x count."""
+    signs = [[1.0 if md5(f"{h}:{d}".encode()).hexdigest()[0] < "8" else -1.0 for h in range(count)] for d in range(dims)]
+    return np.array(signs).reshape(dims, count)
+
+
+def _band_keys(table: DataFrame, id_col: str, vector_col: str, out: str, bands: int, per_band: int) -> DataFrame:
+    """The id, `_band` and `_key` of every vector that is not zero: the sides of the band's planes it lies on."""
+    kind = table.schema[id_col].dataType
+    schema = T.StructType([T.StructField(out, kind), T.StructField("_keys", T.ArrayType(T.LongType()))])
+    arrow = to_arrow_schema(schema)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, matrix = _units(pa.table(batch), "_v")
+            if len(at):
+                above = matrix @ planes(matrix.shape[1], bands * per_band) > 0
+                place = above.reshape(len(at), bands, per_band) @ (1 << np.arange(per_band))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(at) + 1, dtype=np.int32) * bands), pa.array(place.ravel().astype(np.int64))
+                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), lists], schema=arrow)
+
+    rows = table.select(F.col(id_col), F.col(vector_col).cast("array<double>").alias("_v")).na.drop()
+    return rows.mapInArrow(keys, schema).select(out, F.posexplode("_keys").alias("_band", "_key"))
+
+
+def lsh_candidates(
+    vectors: DataFrame, questions: DataFrame, candidates: int, id_col: str = "doc_id", query_col: str = "query_id",
+    vector_col: str = "embedding", bands: int = 24, per_band: int = 6,
+) -> DataFrame:
+    """query_id, doc_id: for each question at most `candidates` rows, those that share most bands with it.
+
+    Ids and keys travel, no vectors; a row none of whose keys a question has
+    is dropped in the join. Rows that share equally many bands go by id.
+    """
+    of_rows = _band_keys(vectors, id_col, vector_col, "doc_id", bands, per_band)
+    of_questions = _band_keys(questions, query_col, vector_col, "query_id", bands, per_band)
+    shared = of_rows.join(of_questions, ["_band", "_key"]).groupBy("query_id", "doc_id").agg(F.count("*").alias("score"))
+    return top_k(shared, candidates).select("query_id", "doc_id")
+
+
 def knn_lsh(
     vectors: DataFrame,
     questions: DataFrame,
@@ -148,74 +172,28 @@ def knn_lsh(
     id_col: str = "doc_id",
     query_col: str = "query_id",
     vector_col: str = "embedding",
-    block: int = QUESTION_BLOCK,
-    bands: int = 12,
-    per_band: int = 2,
-    bucket_length: float | None = None,
-    seed: int = 7,
+    bands: int = 24,
+    per_band: int = 6,
 ) -> DataFrame:
-    """Approximate nearest rows: those that share a hash bucket with the question.
-
-    Unit vectors are hashed by random projections; `per_band` projections make
-    a band, and a row is a candidate if it equals the question in any band.
-    Longer buckets and more bands find more, fewer projections per band too;
-    all of them cost candidates. The default length is 2.8 / sqrt(dimensions),
-    twice the spread of a projected difference of two unrelated unit vectors,
-    which finds even far neighbours.
-    Every candidate is scored exactly. A question for which hashing offers
-    fewer than `candidates` rows is answered by the exact search instead, so
-    no question comes away short.
-
-    Buckets of the questions are broadcast, so a bucket holding much of the
-    table is scored where its rows are; a pair that meets in several bands is
-    made in the first of them only.
+    """Approximate nearest rows: the k best of at most `candidates` rows per question.
+
+    Vectors are hashed by the sides of random hyperplanes they lie on,
+    `per_band` planes to a band; see `lsh_candidates` for which rows are
+    offered. Only these are scored, exactly, so `candidates` bounds the work
+    on vectors. More bands find more, more planes per band offer fewer. A
+    question that shares bands with fewer than k rows gets fewer than k.
     """
-    first = questions.select(F.size(vector_col)).filter(F.col(vector_col).isNotNull()).first()
-    dims = first[0] if first else 1
-    zeros = F.array_repeat(F.lit(0.0), dims)
+    offered = lsh_candidates(vectors, questions, candidates, id_col, query_col, vector_col, bands, per_band)
 
     def pointed(df: DataFrame, old_id: str, new_id: str, out: str) -> DataFrame:
-        vector = F.coalesce(unit(F.col(vector_col).cast("array<double>")), zeros)
-        return df.select(F.col(old_id).alias(new_id), vector.alias(out)).filter(
-            F.exists(out, lambda x: x != 0)
-        )
-
-    rows = pointed(vectors, id_col, "doc_id", "_v")
-    asked = pointed(questions, query_col, "query_id", "_q")
-    if asked.isEmpty():
-        return knn_topk(vectors, questions, k, None, id_col, query_col, vector_col, block)
-    hasher = BucketedRandomProjectionLSH(
-        inputCol="_point", outputCol="_hashes", bucketLength=bucket_length or 2.8 / dims ** 0.5,
-        numHashTables=bands * per_band, seed=seed,
-    )
-    model = hasher.fit(asked.withColumn("_point", array_to_vector("_q")))
-
-    def banded(df: DataFrame, vector: str, out: str) -> DataFrame:
-        hashed = model.transform(df.withColumn("_point", array_to_vector(vector)))
-        places = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(bands * per_band)]
-        keys = {f"_k{n}": F.xxhash64(*places[n * per_band:(n + 1) * per_band]) for n in range(bands)}
-        return hashed.select(*df.columns, *[key.alias(name) for name, key in keys.items()]).select(
-            *df.columns, F.array(*keys).alias(out), F.posexplode(F.array(*keys)).alias("_band", "_key")
-        )
-
-    row_bands = banded(rows, "_v", "_rb")
-    question_bands = banded(asked, "_q", "_qb")
-    met = lookup_join(row_bands, question_bands, ["_band", "_key"], "inner", fits_broadcast(question_bands))
-    first_band = F.array_position(F.zip_with("_rb", "_qb", lambda r, q: r == q), F.lit(True)) - 1
-    scored = met.filter(F.col("_band") == first_band).select(
-        "query_id", "doc_id", F.round(dot(F.col("_v"), F.col("_q")), SCORE_DIGITS).alias("score")
-    )
-    offered = top_k(scored, max(k, candidates)).select("query_id", "doc_id", "score", "rank").persist()
-    counted = asked.select("query_id").join(
-        offered.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")), "query_id", "left"
+        return df.select(F.col(old_id).alias(new_id), unit(F.col(vector_col).cast("array<double>")).alias(out))
+
+    scored = (
+        offered.join(pointed(vectors, id_col, "doc_id", "_v"), "doc_id")
+        .join(pointed(questions, query_col, "query_id", "_q"), "query_id")
+        .select("query_id", "doc_id", dot(F.col("_v"), F.col("_q")).alias("score"))
     )
-    short = counted.filter(F.coalesce("_n", F.lit(0)) < max(k, candidates)).select("query_id")
-    hits = offered.filter(F.col("rank") <= k)
-    if short.isEmpty():
-        return hits
-    again = questions.withColumnRenamed(query_col, "query_id").join(short, "query_id", "left_semi")
-    exact = knn_topk(vectors, again, k, None, id_col, "query_id", vector_col, block)
-    return hits.join(short, "query_id", "left_anti").unionByName(exact)
+    return top_k(scored, k).select("query_id", "doc_id", "score", "rank")
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from stayscope.operators.charts import (
     positive_share, rating_histogram, region_split, reviews_per_period, top_cities, within_dates,
 )
+from stayscope.session import shared_folder
+from stayscope.sources.files import write_table
 
 
-def board(reviews: DataFrame, low, high) -> dict[str, DataFrame]:
+def board(reviews: DataFrame, low, high, folder: str | None = None) -> dict[str, DataFrame]:
     """The five charts of the reviews from `low` to `high`.
 
     Reviews are read once, into counts per month, rating, sentiment, region
-    and city. The counts are kept, and every chart is made from them.
+    and city. The counts are written to `folder`, or to the shared folder, and
+    every chart is made from them.
     """
+    folder = folder or shared_folder(reviews.sparkSession)
     month = F.date_trunc("MONTH", F.col("review_date")).alias("review_date")
-    counts = (
+    counted = (
         within_dates(reviews, low, high)
         .groupBy(month, "rating", "sentiment", "region", "city")
         .agg(F.count(F.lit(1)).alias("reviews"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    write_table(counted, folder)
+    counts = reviews.sparkSession.read.schema(counted.schema).parquet(folder)
     return {
         "rating_histogram": rating_histogram(counts, weight="reviews"),
         "region_topn_other": region_split(counts, weight="reviews"),

@@ -19,6 +19,7 @@ def run_etl(
     language_model=None,
     encoder=None,
     dims: int = DIMS,
+    encoder_name: str | None = None,
 ) -> dict[str, int]:
     """Row counts of what was written.
 
@@ -28,5 +29,5 @@ def run_etl(
     model = language_model or default_language_model(spark)
     written = {"clean": write_table(clean_reviews(reviews, states, language_model=model), clean_path)}
     if vectors_path:
-        written["vectors"] = generate_vectors(spark, clean_path, vectors_path, encoder, dims)
+        written["vectors"] = generate_vectors(spark, clean_path, vectors_path, encoder, dims, encoder_name)
     return written

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# The names and order of the tables' columns.
 REVIEW_COLUMNS = [
     "name", "city", "province", "reviews.date", "reviews.rating",
     "reviews.text", "reviews.title", "reviews.username",
@@ -49,10 +50,10 @@ def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Exactly the contract's columns, in its order and with its types."""
+    """Exactly the contract's columns, in its order and with its types; what is noted on a column stays."""
     require_columns(df, contract.fieldNames())
     return df.select([
-        F.col(f"`{field.name}`").cast(field.dataType).alias(field.name)
+        F.col(f"`{field.name}`").cast(field.dataType).alias(field.name, metadata=df.schema[field.name].metadata)
         for field in contract.fields
     ])
 

@@ -10,36 +10,37 @@ from stayscope.sources.contracts import CATALOG_COLUMNS, REVIEW_COLUMNS, require
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A CSV file or folder with a header; every column is text.
 
-    Names come from the header, so no pass over the data is needed to infer
-    types; callers cast by name. Quoted fields may hold line breaks and
+    Names come from the header of the first file, so no pass over the data is
+    needed to infer types; callers cast by name. A file whose header has other
+    names, or another order, raises. Quoted fields may hold line breaks and
     doubled quotes. Such files cannot be split, so a large export should come
     as many files; pass `multi_line=False` for a file known to hold one record
     per line and it is read in splits.
     """
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    names = spark.read.options(**options).csv(path).schema
+    return spark.read.options(**options, enforceSchema=False).schema(names).csv(path)
 
 
-def read_reviews(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Raw reviews: the eight used columns, rating as double, date as timestamp.
+def typed_reviews(raw: DataFrame) -> DataFrame:
+    """Raw reviews with the rating as double and the date as timestamp; all other columns as they are.
 
     A rating that is not a number becomes null instead of failing the job, and
     so does a date that is not one.
     """
-    raw = require_columns(read_csv(spark, path, multi_line), REVIEW_COLUMNS)
     typed = {"reviews.rating": "double", "reviews.date": "timestamp"}
     return raw.select([
-        F.col(f"`{name}`").try_cast(typed.get(name, "string")).alias(name)
-        for name in REVIEW_COLUMNS
+        F.col(f"`{name}`").try_cast(typed[name]).alias(name) if name in typed else F.col(f"`{name}`")
+        for name in raw.columns
     ])
 
 
+def read_reviews(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Raw reviews: the eight used columns, typed."""
+    raw = require_columns(read_csv(spark, path, multi_line), REVIEW_COLUMNS)
+    return typed_reviews(raw).select([F.col(f"`{name}`") for name in REVIEW_COLUMNS])
+
+
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """The state catalog."""
     return require_columns(read_csv(spark, path, multi_line=False), CATALOG_COLUMNS).select(
@@ -52,20 +53,6 @@ def load_data(spark: SparkSession, reviews_path: str, catalog_path: str) -> tupl
     return read_reviews(spark, reviews_path), read_catalog(spark, catalog_path)
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet scan with work for every core.
-
-    A table of fewer splits than cores (one small file, say) is dealt out to
-    all of them; that moves little, because the table is small. A table with
-    splits enough is returned as it is, without a shuffle.
-    """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores)
-    return table
-
-
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None) -> int:
     """Overwrite `target` and return the number of rows written.
 

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from stayscope.sources.contracts import column_types, dots_to_underscores, plain_names
+from stayscope.sources.contracts import CLEAN_REVIEWS, column_types, conform, dots_to_underscores, plain_names
+from stayscope.sources.files import typed_reviews
 
 
 def write_relational(
@@ -49,9 +50,14 @@ def count_relational(spark: SparkSession, table: str, options: dict) -> int:
 def write_relational_copies(
     raw_reviews: DataFrame, catalog: DataFrame, reviews: DataFrame, options: dict
 ) -> dict[str, int]:
-    """The two sources under plain names, and the joined table without vectors."""
+    """The two sources under plain names, and the joined table without vectors under its declared types.
+
+    Ratings and dates of the raw reviews are stored as numbers and times; a
+    value that is none becomes null.
+    """
+    joined = conform(reviews, CLEAN_REVIEWS)
     return {
-        "hotels_raw": write_relational(dots_to_underscores(raw_reviews), "hotels_raw", options),
+        "hotels_raw": write_relational(dots_to_underscores(typed_reviews(raw_reviews)), "hotels_raw", options),
         "states": write_relational(plain_names(catalog), "states", options),
-        "hotel_reviews": write_relational(reviews.drop("embedding"), "hotel_reviews", options),
+        "hotel_reviews": write_relational(joined, "hotel_reviews", options, contract=CLEAN_REVIEWS),
     }

@@ -6,6 +6,7 @@ import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
+os.environ["PYTHONPATH"] = f"{ROOT}{os.pathsep}{os.environ.get('PYTHONPATH', '')}"  # for the workers
 
 from stayscope.operators.language import default_language_model  # noqa: E402
 from stayscope.session import build_session  # noqa: E402

@@ -1,7 +1,7 @@
 """The board's charts."""
 
 import statistics
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from conftest import plan_of
@@ -100,6 +100,25 @@ def test_counts_by_region_and_pivot(spark, reviews):
     assert charts.sentiment_pivot(only).first().asDict() == {"region": "R", "negative": 0, "positive": 3}
 
 
+def test_the_last_day_is_in_with_its_hours(spark):
+    times = [datetime(2000, 12, 31, 10), datetime(2000, 12, 31), datetime(2001, 1, 1), datetime(2000, 1, 1), None]
+    df = spark.createDataFrame([(t,) for t in times], "review_date timestamp")
+    for high, count in (("2000-12-31", 3), (date(2000, 12, 31), 3), (datetime(2000, 12, 31), 2), ("2000-12-31 09:00:00", 2)):
+        assert charts.within_dates(df, "2000-01-01", high).count() == count
+
+
+def test_a_wide_gap_is_written_out_in_runs(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0,), (3e6,)], "rating double")
+    found = charts.rating_histogram(df)
+    assert found.count() == 3_000_000 and found.filter("count > 0").count() == 2
+    wide = charts.rating_histogram(spark.createDataFrame([(1.0,), (3e9,)], "rating double"))
+    assert wide.limit(3).count() == 3
+    monkeypatch.setattr(charts, "RUN", 7)
+    months = spark.createDataFrame([(datetime(1990, 1, 31),), (datetime(2010, 3, 1),)], "review_date timestamp")
+    periods = [r.period for r in charts.reviews_per_period(months).orderBy("period").collect()]
+    assert len(periods) == len(set(periods)) == 243 and {p.day for p in periods} == {1}
+
+
 def test_board_leaves_out_other_dates(reviews, rows):
     low, high = datetime(2020, 2, 1), datetime(2020, 12, 31)
     shown = board(reviews, low, high)

@@ -4,12 +4,14 @@ import pytest
 from conftest import logical_plan_of
 from pyspark.sql import functions as F
 
-from stayscope.operators import cleaning
 from stayscope.operators.cleaning import clean_reviews, project_catalog, project_reviews
+from stayscope.operators.seed_text import SEED_TEXT
 from stayscope.sources.contracts import CATALOG_COLUMNS, REVIEW_COLUMNS
 
-GOOD = "The room was very clean and the staff were friendly"
-BAD = "The room was dirty and the service was very slow"
+PRAISE = "Our boys loved the rowing boats, and supper by the lake lasted until the stars came out"
+BLAME = "A leaking ceiling kept us awake, and the promised shuttle to the harbour never turned up"
+SPANISH = "Los niños disfrutaron mucho de las barcas, y la cena junto al lago duró hasta las estrellas"
+FRENCH = "Une fuite au plafond nous a tenus éveillés et la navette promise vers le port n'est jamais venue"
 TYPES = (
     "name string, city string, province string, `reviews.date` string, `reviews.rating` double, "
     "`reviews.text` string, `reviews.title` string, `reviews.username` string"
@@ -17,11 +19,9 @@ TYPES = (
 
 
 def review(**changes):
-    row = {
-        "name": "Hotel A", "city": "LA", "province": "CA", "reviews.date": "2021-01-01",
-        "reviews.rating": 5.0, "reviews.text": GOOD, "reviews.title": "Great stay",
-        "reviews.username": "u1",
-    }
+    row = dict(zip(REVIEW_COLUMNS, (
+        "Heron Lodge", "Bend", "OR", "2019-06-30", 4.0, PRAISE, "Worth the drive", "kestrel9",
+    )))
     row.update({k if k in row else f"reviews.{k}": v for k, v in changes.items()})
     return tuple(row[c] for c in REVIEW_COLUMNS)
 
@@ -33,8 +33,7 @@ def reviews(spark, *rows, types=TYPES):
 @pytest.fixture(scope="module")
 def states(spark):
     return spark.createDataFrame(
-        [("California", "CA", "West", "Pacific"), ("Maine", "ME", "Northeast", "New England")],
-        CATALOG_COLUMNS,
+        [("Oregon", "OR", "R1", "D1"), ("Iowa", "IA", "R2", "D2"), ("Utah", "UT", "R1", "D3")], CATALOG_COLUMNS
     )
 
 
@@ -45,83 +44,88 @@ def clean(spark, states, seed_model):
     ).collect()
 
 
-def test_text_is_title_and_text_and_five_stars_are_positive(clean):
-    (row,) = clean(review())
-    assert row.review_full_text == f"Great stay {GOOD}"
-    assert row.sentiment == 1 and row.rating == 5.0
+def test_no_sentence_here_was_trained_on():
+    known = {text for texts in SEED_TEXT.values() for text in texts}
+    for sentence in (PRAISE, BLAME, SPANISH, FRENCH):
+        assert not any(sentence in text or text.rstrip(".") in sentence for text in known)
 
 
-def test_three_stars_are_negative(clean):
-    (row,) = clean(review(rating=3.0, text=BAD, province="ME"))
-    assert row.sentiment == 0
+@pytest.mark.parametrize("stars, sentiment", [(1.0, 0), (2.5, 0), (3.9, 0), (4.0, 1), (4.5, 1), (5.0, 1)])
+def test_sentiment_turns_at_four_stars(clean, stars, sentiment):
+    (row,) = clean(review(rating=stars, text=BLAME))
+    assert (row.rating, row.sentiment) == (stars, sentiment)
 
 
-@pytest.mark.parametrize("title, expected", [(None, BAD), ("", f" {BAD}")])
-def test_missing_and_empty_title(clean, title, expected):
-    (row,) = clean(review(text=BAD, title=title))
-    assert row.review_full_text == expected
+@pytest.mark.parametrize("title, full", [
+    ("Worth the drive", f"Worth the drive {BLAME}"), ("", f" {BLAME}"), (None, BLAME),
+])
+def test_full_text_is_the_title_before_the_text(clean, title, full):
+    (row,) = clean(review(text=BLAME, title=title))
+    assert row.review_full_text == full
 
 
-def test_rating_outside_range_and_missing_rating_leave(clean):
-    rows = clean(*[review(rating=r, username=str(r)) for r in (5.0, 1.0, 9.0, 0.5, None, float("nan"))])
-    assert sorted(r.rating for r in rows) == [1.0, 5.0]
+def test_only_ratings_from_one_to_five_stay(clean):
+    given = [0.99, 1.0, 3.25, 5.0, 5.01, -4.0, None, float("nan"), float("inf")]
+    rows = clean(*[review(rating=r, username=f"guest{n}") for n, r in enumerate(given)])
+    assert sorted(r.rating for r in rows) == [1.0, 3.25, 5.0]
 
 
-def test_null_text_leaves(clean):
-    rows = clean(review(), review(name="Hotel B", text=None))
-    assert [r.hotel_name for r in rows] == ["Hotel A"]
+def test_review_without_text_leaves_but_one_without_a_date_stays(clean):
+    rows = clean(review(text=None, name="Silent Inn"), review(date=None, name="Dateless Inn"))
+    assert [(r.hotel_name, r.review_date) for r in rows] == [("Dateless Inn", None)]
 
 
-def test_other_language_leaves(clean):
-    german = "Das Zimmer war sehr schmutzig und das Personal war unfreundlich"
-    rows = clean(review(), review(name="Hotel DE", text=german, title="Schlechte Erfahrung"))
-    assert [r.hotel_name for r in rows] == ["Hotel A"]
+def test_only_the_wanted_language_stays(clean):
+    given = {"Lago": (SPANISH, "Volveremos"), "Port": (FRENCH, "Nuit blanche"), "Quay": (BLAME, "No sleep at all")}
+    rows = [review(name=name, text=text, title=title) for name, (text, title) in given.items()]
+    assert [r.hotel_name for r in clean(*rows)] == ["Quay"]
+    assert [r.hotel_name for r in clean(*rows, language="fr")] == ["Port"]
 
 
-def test_unknown_and_null_province_leave(clean):
-    rows = clean(review(), review(province="ZZ", name="Hotel Z"), review(province=None, name="Hotel N"))
-    assert [r.province for r in rows] == ["CA"]
+def test_province_must_be_in_the_catalog(clean):
+    rows = clean(*[review(province=p, name=f"In {p}") for p in ("UT", "XX", None, "or", "IA")])
+    assert {(r.province, r.region, r.division) for r in rows} == {("UT", "R1", "D3"), ("IA", "R2", "D2")}
 
 
-def test_region_and_division_come_from_the_catalog(clean):
-    (row,) = clean(review())
-    assert (row.region, row.division) == ("West", "Pacific")
-
-
-def test_nine_columns_in_order(spark, states):
+def test_columns_and_their_order(spark, states):
     df = clean_reviews(reviews(spark, review()).withColumn("lang", F.lit("en")), states, lang_col="lang")
-    assert df.columns == [
-        "hotel_name", "city", "province", "review_date", "rating", "review_full_text", "sentiment",
-        "region", "division",
-    ]
+    assert ",".join(df.columns) == (
+        "hotel_name,city,province,review_date,rating,review_full_text,sentiment,region,division"
+    )
 
 
-def test_copies_leave_but_another_user_is_no_copy(clean):
-    rows = clean(review(), review(), review(username="u2"), review(title=None), review(title=None))
-    assert len(rows) == 3
+def test_rows_equal_in_all_eight_columns_are_one(clean):
+    twice = [review(), review()]
+    others = [review(username="teal4"), review(city="Burns"), review(title=None), review(title=None), review(date=None)]
+    assert len(clean(*twice, *others)) == 5
 
 
 def test_rating_as_text_does_not_fail(spark, states):
     types = TYPES.replace("`reviews.rating` double", "`reviews.rating` string")
-    df = reviews(spark, review(rating="4"), review(rating="great"), types=types)
+    df = reviews(spark, *[review(rating=r) for r in ("4.5", "four", "", None, "9")], types=types)
     (row,) = clean_reviews(df.withColumn("lang", F.lit("en")), states, lang_col="lang").collect()
-    assert row.rating == 4.0 and row.sentiment == 1
+    assert row.rating == 4.5 and row.sentiment == 1
 
 
 def test_repeated_catalog_code_raises_unless_allowed(spark, states):
-    twice = states.unionAll(states.filter("`State Code` = 'CA'").withColumn("Division", F.lit("x")))
-    with pytest.raises(ValueError, match="CA"):
+    twice = states.unionAll(states.filter("`State Code` = 'UT'").withColumn("Division", F.lit("D9")))
+    with pytest.raises(ValueError, match="UT"):
         project_catalog(twice)
-    df = reviews(spark, review()).withColumn("lang", F.lit("en"))
-    assert clean_reviews(df, twice, lang_col="lang", allow_repeats=True).count() == 2
+    df = reviews(spark, review(province="UT")).withColumn("lang", F.lit("en"))
+    rows = clean_reviews(df, twice, lang_col="lang", allow_repeats=True).collect()
+    assert sorted(r.division for r in rows) == ["D3", "D9"]
 
 
-def test_large_catalog_gives_the_same_rows(spark, states, monkeypatch):
-    df = reviews(spark, *[review(username=str(n), province="CA" if n % 3 else "ME") for n in range(60)])
+def test_joins_by_shuffle_give_the_same_rows(spark, states):
+    df = reviews(spark, *[review(username=str(n), province="OR" if n % 3 else "IA") for n in range(60)])
     df = df.unionAll(df).withColumn("lang", F.lit("en"))
     small = clean_reviews(df, states, lang_col="lang").collect()
-    monkeypatch.setattr(cleaning, "fits_broadcast", lambda table: False)
-    large = clean_reviews(df, states, lang_col="lang").collect()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = clean_reviews(df, states, lang_col="lang").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(small) == 60 and sorted(small) == sorted(large)
 
 
@@ -131,8 +135,8 @@ def test_needs_a_language(spark, states):
 
 
 def test_missing_column_is_named(spark):
-    with pytest.raises(ValueError, match="reviews.text"):
-        project_reviews(reviews(spark, review()).drop("reviews.text"))
+    with pytest.raises(ValueError, match="reviews.title"):
+        project_reviews(reviews(spark, review()).drop("reviews.title"))
 
 
 def test_language_model_runs_after_duplicate_removal(spark, states, seed_model):

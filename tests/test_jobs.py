@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import views
 from stayscope import __main__ as jobs
 from stayscope.session import shared_folder
-from stayscope.sources.files import read_spread, write_csv, write_table
+from stayscope.sources.files import write_csv
 
 
 @pytest.fixture(scope="module")
@@ -34,8 +34,9 @@ def test_jobs_in_order(spark, base, capsys):
     jobs.documents(spark, Namespace(
         vectors=f"{base}/vectors", documents=f"{base}/documents", jdbc_options=None, reviews=None, states=None
     ))
+    jobs.index(spark, Namespace(documents=f"{base}/documents", index=f"{base}/index"))
     jobs.search(spark, Namespace(
-        documents=f"{base}/documents", questions=f"{base}/questions", hits=f"{base}/hits", k=3
+        documents=f"{base}/documents", index=f"{base}/index", questions=f"{base}/questions", hits=f"{base}/hits", k=3
     ))
     jobs.charts(spark, Namespace(clean=f"{base}/clean", charts=f"{base}/charts", low="1990-01-01", high="2010-01-01"))
     clean = spark.read.parquet(f"{base}/clean")
@@ -47,15 +48,3 @@ def test_jobs_in_order(spark, base, capsys):
     assert hits.groupBy("query_id").count().filter("count > 3").isEmpty()
     out = capsys.readouterr().out
     assert '"clean"' in out and "vector_hits" in out and "top_cities" in out
-
-
-def test_small_table_is_spread_and_unchanged(spark, tmp_path):
-    write_table(spark.range(100).coalesce(1), str(tmp_path / "t"))
-    spread = read_spread(spark, str(tmp_path / "t"))
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.agg(F.sum("id")).first()[0] == 4950
-
-
-def test_split_table_is_left_alone(spark, tmp_path):
-    write_table(spark.range(100).repartition(41), str(tmp_path / "t"))
-    assert "Repartition" not in read_spread(spark, str(tmp_path / "t"))._jdf.queryExecution().toString()

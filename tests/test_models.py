@@ -163,3 +163,23 @@ def test_training_job_names_a_missing_column(spark, labelled):
     write_table(labelled.drop("region"), base)
     with pytest.raises(ValueError, match="region"):
         train(spark, base, f"{base}-results")
+
+
+def test_models_do_not_depend_on_the_layout(spark, labelled):
+    train_rows, test_rows = split_by_hash(labelled.withColumn("n", F.monotonically_increasing_id()), ["n"])
+    found = []
+    for layout in (train_rows.coalesce(1), train_rows.repartition(3), train_rows.repartition(7, "review_full_text")):
+        scores = {}
+        for trainer in (train_random_forest, train_logistic_regression):
+            _, predictions, _ = trainer(layout.drop("n"), test_rows.drop("n"))
+            scores[trainer] = sorted(r.score for r in predictions.collect())
+        found.append(scores)
+    for other in found[1:]:
+        assert other[train_random_forest] == found[0][train_random_forest]
+        assert other[train_logistic_regression] == pytest.approx(found[0][train_logistic_regression], abs=1e-12)
+
+
+def test_metrics_of_one_model(spark):
+    rows = [{"model": m, "accuracy": 0.5, "precision": 0.5, "recall": 0.5, "f1": 0.5, "auc_roc": None} for m in ("a", "b")]
+    assert [r.model for r in metrics.of_model(metrics_table(spark, rows), "b").collect()] == ["b"]
+    assert metrics.of_model(metrics_table(spark, rows), "c").isEmpty()

@@ -16,41 +16,69 @@ from stayscope.sources.files import (
     load_data, read_csv, read_report, read_reviews, write_csv, write_report, write_table,
 )
 
-HEADER = "id,name,city,province,reviews.date,reviews.rating,reviews.text,reviews.title,reviews.username\n"
+HEADER = "n,name,city,province,reviews.date,reviews.rating,reviews.text,reviews.title,reviews.username\n"
 
 
 @pytest.fixture
 def raw_files(tmp_path):
     (tmp_path / "reviews.csv").write_text(
         HEADER
-        + '1,Sol,LA,CA,2021-01-01,5,"Nice, ""very"" nice\nand clean",Great,ana\n'
-        + "2,Luna,Portland,ME,2021-02-02T10:00:00Z,3,Dirty,Bad,beto\n"
-        + "3,Mar,Portland,ME,someday,good,Fine,,eva\n"
-    )
-    (tmp_path / "states.csv").write_text(
-        "State,State Code,Region,Division\nCalifornia,CA,West,Pacific\nMaine,ME,Northeast,New England\n"
+        + '7,Otter Point,Ames,IA,2018-11-05T07:15:00Z,2,"They call it ""cosy"";\nit is a cupboard",Tiny,wren\n'
+        + "8,Juniper Court,Moab,UT,2018-12-24,4.5,Red rocks outside every window,,finch\n"
+        + "9,Cedar Row,Provo,UT,last spring,plenty,Kind hosts,Thanks,\n"
     )
+    (tmp_path / "states.csv").write_text("State,State Code,Region,Division\nIowa,IA,R2,D2\nUtah,UT,R1,D3\n")
     return tmp_path
 
 
 def test_quoted_review_with_line_break_is_one_row(spark, raw_files):
     reviews, states = load_data(spark, str(raw_files / "reviews.csv"), str(raw_files / "states.csv"))
     rows = {r["name"]: r for r in reviews.collect()}
-    assert len(rows) == 3
-    assert rows["Sol"]["reviews.text"] == 'Nice, "very" nice\nand clean'
-    assert rows["Sol"]["reviews.rating"] == 5.0 and rows["Sol"]["reviews.date"] is not None
-    assert states.columns == ["State", "State Code", "Region", "Division"] and states.count() == 2
+    assert sorted(rows) == ["Cedar Row", "Juniper Court", "Otter Point"]
+    assert rows["Otter Point"]["reviews.text"].splitlines() == ['They call it "cosy";', "it is a cupboard"]
+    assert rows["Otter Point"]["reviews.date"].isoformat() == "2018-11-05T07:15:00"
+    assert rows["Juniper Court"]["reviews.rating"] == 4.5
+    assert {(r["State Code"], r["Division"]) for r in states.collect()} == {("IA", "D2"), ("UT", "D3")}
 
 
 def test_values_that_do_not_fit_become_null(spark, raw_files):
-    row = read_reviews(spark, str(raw_files / "reviews.csv")).filter("name = 'Mar'").first()
-    assert row["reviews.rating"] is None and row["reviews.date"] is None
-    assert row["reviews.title"] is None
+    row = read_reviews(spark, str(raw_files / "reviews.csv")).filter("name = 'Cedar Row'").first()
+    assert row["reviews.rating"] is None and row["reviews.date"] is None and row["reviews.username"] is None
+    assert row["reviews.title"] == "Thanks"
+
+
+def test_files_of_one_header_are_one_table_and_others_raise(spark, tmp_path):
+    names = HEADER.strip().split(",")
+    row = {name: f"{name} value" for name in names}
+    for file, order in (("a", names), ("b", names)):
+        (tmp_path / f"{file}.csv").write_text(",".join(order) + "\n" + ",".join(row[n] for n in order) + "\n")
+    assert read_reviews(spark, str(tmp_path)).select("city").distinct().count() == 1
+    swapped = [names[0], names[2], names[1], *names[3:]]
+    (tmp_path / "c.csv").write_text(",".join(swapped) + "\n" + ",".join(row[n] for n in swapped) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path)).select("name", "city").collect()
+    with pytest.raises(Exception, match="header"):
+        read_reviews(spark, str(tmp_path)).collect()
+
+
+def test_relational_copies_are_typed(spark, raw_files, monkeypatch):
+    sent = {}
+    monkeypatch.setattr(relational, "write_relational", lambda df, table, options, contract=None: sent.update(
+        {table: (df.dtypes, contract)}) or 0)
+    reviews = spark.createDataFrame([], VECTOR_REVIEWS)
+    relational.write_relational_copies(
+        read_csv(spark, str(raw_files / "reviews.csv")), load_data(
+            spark, str(raw_files / "reviews.csv"), str(raw_files / "states.csv"))[1], reviews, {})
+    raw = dict(sent["hotels_raw"][0])
+    assert (raw["reviews_rating"], raw["reviews_date"], raw["reviews_text"], raw["n"]) == (
+        "double", "timestamp", "string", "string")
+    assert sent["hotel_reviews"][1] is CLEAN_REVIEWS
+    assert [n for n, _ in sent["hotel_reviews"][0]] == CLEAN_REVIEWS.fieldNames()
 
 
 def test_parquet_overwrites_and_counts(spark, tmp_path):
     target = str(tmp_path / "out")
-    first = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "hotel_name string, rating double")
+    first = spark.createDataFrame([(11, "x"), (12, None)], "n int, mark string")
     assert write_table(first, target) == 2
     assert write_table(first.limit(1), target) == 1
     assert spark.read.parquet(target).count() == 1
@@ -95,9 +123,9 @@ def test_contract(spark):
 
 def _clean_rows(spark):
     rows = [
-        ("Sol", "LA", "CA", "2021-01-01 00:00:00", 5.0, "good room", 1, "West", "Pacific"),
-        ("Sol", "LA", "CA", "2021-01-01 00:00:00", 4.0, "good room", 1, "West", "Pacific"),
-        ("Mar", "LA", "CA", None, float("nan"), "bad room", 0, "West", "Pacific"),
+        ("Heron Lodge", "Bend", "OR", "2019-06-30 21:05:00", 4.5, "boats and stars", 1, "R1", "D1"),
+        ("Heron Lodge", "Bend", "OR", "2019-06-30 21:05:00", 3.5, "boats and stars", 1, "R1", "D1"),
+        ("Otter Point", "Ames", "IA", None, float("nan"), "a cupboard", 0, "R2", "D2"),
     ]
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CLEAN_REVIEWS.fields)
     df = spark.createDataFrame(rows, names.replace("review_date timestamp", "review_date string"))
@@ -106,11 +134,11 @@ def _clean_rows(spark):
 
 def test_documents_with_one_key_keep_the_last(spark):
     found = {r.hotel_name: r for r in keyed_documents(_clean_rows(spark), ["rating"]).collect()}
-    assert len(found) == 2 and found["Sol"].rating == 5.0
-    assert found["Sol"].review_date == "2021-01-01T00:00:00"
-    assert found["Mar"].review_date is None and found["Mar"].rating is None
+    assert len(found) == 2 and found["Heron Lodge"].rating == 4.5
+    assert found["Heron Lodge"].review_date == "2019-06-30T21:05:00"
+    assert found["Otter Point"].review_date is None and found["Otter Point"].rating is None
     import hashlib
-    assert found["Mar"].doc_id == hashlib.md5(b"Mar|None|bad room").hexdigest()
+    assert found["Otter Point"].doc_id == hashlib.md5(b"Otter Point|None|a cupboard").hexdigest()
 
 
 def test_hot_key_keeps_one_row_and_is_cut_before_the_shuffle(spark):
