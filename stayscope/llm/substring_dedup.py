@@ -12,15 +12,17 @@ filed under that prefix:
 3. The different segments of a prefix go to one task, which builds the subtree
    of their suffixes to depth L, level by level. Internal nodes at that depth
    are the repeats; a suffix below a node with a smaller document repeats it.
-4. A prefix with more than GROUP segments would not fit: it is lengthened to
-   the whole window. Its subtree then is a single node, and a partial
-   aggregate finds the smallest document below it.
+4. A prefix with more than GROUP segments would not fit: it is lengthened.
+   Its segments are cut again by the least run of more words, half of what
+   is missing to a whole window at a time, and go through 1 to 4 again. A
+   prefix as long as the window is a node by itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +91,8 @@ def segments_of(column: pa.Array, length: int, prefix: int) -> Segments:
     head = np.flatnonzero(new)
     count = np.diff(np.append(head, len(valid)))
     begin = valid[head]
-    label = run_hashes(hashes, begin, begin + count + length - 1)
+    # Where the prefix is the whole window, all windows of a segment are equal: one node, however many.
+    label = run_hashes(hashes, begin, begin + count + length - 1) if prefix < length else least[head]
     return Segments(raw, starts, ends, first, hashes, begin, count, least[head], label, row[head])
 
 
@@ -167,8 +170,13 @@ def _asked(part: pa.RecordBatch, s: Segments) -> Iterator[tuple[int, int]]:
                 yield k, row
 
 
-def _subtree_marks(texts: DataFrame, asked: DataFrame, length: int, prefix: int) -> DataFrame:
-    """doc_id, label, low, high: repeated windows of segments, from the subtrees of their prefixes."""
+PIECE = "doc_id bigint, label bigint, offset int, prefix bigint, text string"
+MARK = "doc_id bigint, label bigint, low int, high int"
+MARK_ARROW = pa.schema([("doc_id", pa.int64()), ("label", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
+
+
+def _pieces(texts: DataFrame, asked: DataFrame, length: int, prefix: int) -> DataFrame:
+    """The asked segments with their words: doc_id, label, offset (0), prefix, text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,83 +185,82 @@ def _subtree_marks(texts: DataFrame, asked: DataFrame, length: int, prefix: int)
                 found = list(_asked(part, s))
                 which = np.array([k for k, _ in found], dtype=np.int64)
                 rows = pa.array([r for _, r in found], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.prefix[which].view(np.int64)), pa.array(s.label[which].view(np.int64)),
-                     part.column("doc_id").take(rows), pa.array([s.body(k, length) for k, _ in found], pa.binary())],
-                    names=["prefix", "label", "doc_id", "body"],
-                )
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id").take(rows), pa.array(s.label[which].view(np.int64)),
+                    pa.array(np.zeros(len(which), np.int32)), pa.array(s.prefix[which].view(np.int64)),
+                    pa.array([s.body(k, length).decode() for k, _ in found], pa.string()),
+                ], names=["doc_id", "label", "offset", "prefix", "text"])
+
+    return texts.join(asked, "doc_id").select("doc_id", "text", "labels").mapInArrow(cut, PIECE)
+
+
+def _subtree_marks(pieces: DataFrame, length: int) -> DataFrame:
+    """doc_id, label, low, high: the repeated windows of segments, from the subtrees of their prefixes."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("prefix", "label", "doc_id", "body"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("prefix", "label", "doc_id", "offset", "text"))):
                 if row[0] != last and size >= TREE_WORDS:
                     yield _marks(held, length)
                     held, size = [], 0
                 held.append(row)
                 # A word takes two bytes at least.
-                size, last = size + len(row[3]) // 2, row[0]
+                size, last = size + len(row[4]) // 2, row[0]
         if held:
             yield _marks(held, length)
 
-    bodies = texts.join(asked, "doc_id").select("doc_id", "text", "labels").mapInArrow(
-        cut, "prefix bigint, label bigint, doc_id bigint, body binary"
-    )
-    return bodies.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(
-        build, "doc_id bigint, label bigint, low int, high int"
-    )
+    return pieces.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(build, MARK)
 
 
 def _marks(rows: list[tuple], length: int) -> pa.RecordBatch:
-    raw, limits = text_bytes(pa.array([r[3].decode() for r in rows], pa.large_string()))
+    raw, limits = text_bytes(pa.array([r[4] for r in rows], pa.large_string()))
     starts, ends, first = word_spans(raw, limits)
     docs = np.array([r[2] for r in rows], dtype=np.int64)
     repeated = repeated_suffixes(span_hashes(raw, starts, ends), first, docs, length)
     out = [
-        (row[2], row[1], a, b)
-        for k, row in enumerate(rows) for a, b in _runs(repeated[first[k]:first[k + 1]])
+        {"doc_id": doc_id, "label": label, "low": offset + a, "high": offset + b}
+        for k, (_, label, doc_id, offset, _) in enumerate(rows) for a, b in _runs(repeated[first[k]:first[k + 1]])
     ]
-    return pa.RecordBatch.from_pylist(
-        [dict(zip(("doc_id", "label", "low", "high"), x)) for x in out],
-        pa.schema([("doc_id", pa.int64()), ("label", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]),
-    )
+    return pa.RecordBatch.from_pylist(out, MARK_ARROW)
 
 
-def _window_marks(texts: DataFrame, asked: DataFrame, length: int, prefix: int) -> DataFrame:
-    """The same for prefixes lengthened to the whole window: a node per window, its smallest document by aggregation."""
+def _cut_again(pieces: DataFrame, length: int, prefix: int) -> DataFrame:
+    """Pieces under longer prefixes; `part` is the hash of a new piece, `offset` still counts from its first segment."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 s = segments_of(part.column("text"), length, prefix)
-                found = list(_asked(part, s))
-                which = np.array([k for k, _ in found], dtype=np.int64)
-                count = s.count[which]
-                low = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-                at = np.repeat(s.begin[which], count) + low
-                node = run_hashes(s.hashes, at, at + length)
-                rows = pa.array(np.repeat(np.array([r for _, r in found], dtype=np.int64), count))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(s.prefix[which], count).view(np.int64)), pa.array(node.view(np.int64)),
-                     part.column("doc_id").take(rows), pa.array(np.repeat(s.label[which], count).view(np.int64)),
-                     pa.array(low, pa.int32())], names=["prefix", "node", "doc_id", "label", "low"],
-                )
-
-    windows = texts.join(asked, "doc_id").select("doc_id", "text", "labels").mapInArrow(
-        run, "prefix bigint, node bigint, doc_id bigint, label bigint, low int"
-    )
-    least = windows.groupBy("prefix", "node").agg(F.min("doc_id").alias("least"))
-    return windows.join(least, ["prefix", "node"]).filter("doc_id > least").select(
-        "doc_id", "label", "low", (F.col("low") + 1).alias("high")
+                rows = pa.array(s.row)
+                offset = part.column("offset").to_numpy()[s.row] + (s.begin - s.first[s.row])
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id").take(rows), part.column("label").take(rows),
+                    pa.array(offset, pa.int32()), pa.array(s.prefix.view(np.int64)),
+                    pa.array([s.body(k, length).decode() for k in range(len(s.row))], pa.string()),
+                    pa.array(s.label.view(np.int64)), pa.array(s.count, pa.int32()),
+                ], names=["doc_id", "label", "offset", "prefix", "text", "part", "windows"])
+
+    return pieces.select("doc_id", "label", "offset", "text").mapInArrow(cut, PIECE + ", part bigint, windows int")
+
+
+def _lengthened(pieces: DataFrame, length: int, prefix: int, folder: str) -> tuple[list[DataFrame], DataFrame]:
+    """Marks of pieces under a longer prefix, and the pieces whose prefix is still too frequent."""
+    again = kept(_cut_again(pieces, length, prefix), f"{folder}/again")
+    leaves = again.groupBy("prefix", "part").agg(F.min("doc_id").alias("least"))
+    first = again.join(leaves, ["prefix", "part"])
+    copies = first.filter("doc_id > least").select(
+        "doc_id", "label", F.col("offset").alias("low"), (F.col("offset") + F.col("windows")).alias("high")
     )
+    sizes = leaves.groupBy("prefix").agg(F.count("*").alias("n")).filter("n > 1")
+    sized = first.filter("doc_id = least").join(sizes, "prefix").select("doc_id", "label", "offset", "prefix", "text", "n")
+    trees = _subtree_marks(sized.filter(F.col("n") <= GROUP).drop("n"), length)
+    return [copies, trees], kept(sized.filter(F.col("n") > GROUP).drop("n"), f"{folder}/frequent")
 
 
 def repeat_marks(texts: DataFrame, length: int, prefix: int, folder: str) -> DataFrame:
-    """doc_id and marks: for segments by label, the windows from low to high (not itself) that repeat.
-
-    Asked by both text joins below under one exchange of the texts.
-    """
+    """doc_id and marks: for segments by label, the windows from low to high (not itself) that repeat."""
     every = kept(_segment_rows(texts, length, prefix), f"{folder}/segments")
     several = every.groupBy("prefix").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     shared = kept(every.join(several.select("prefix"), "prefix", "left_semi"), f"{folder}/shared")
@@ -267,9 +274,16 @@ def repeat_marks(texts: DataFrame, length: int, prefix: int, folder: str) -> Dat
     def lists(rows: DataFrame) -> DataFrame:
         return rows.groupBy("doc_id").agg(F.collect_set("label").alias("labels"))
 
-    trees = _subtree_marks(texts, lists(sized.filter(F.col("n") <= GROUP)), length, prefix)
-    nodes = _window_marks(texts, lists(sized.filter(F.col("n") > GROUP)), length, prefix)
-    return copies.unionAll(trees).unionAll(nodes).groupBy("doc_id").agg(
+    few, many = sized.filter(F.col("n") <= GROUP), sized.filter(F.col("n") > GROUP)
+    marks = [copies, _subtree_marks(_pieces(texts, lists(few), length, prefix), length)]
+    # Written first, so that Spark knows their size and sends few of them to the texts.
+    asked = kept(lists(many), f"{folder}/asked")
+    frequent = kept(_pieces(texts, asked, length, prefix), f"{folder}/frequent")
+    while prefix < length and not frequent.isEmpty():
+        prefix += max(1, (length - prefix + 1) // 2)
+        more, frequent = _lengthened(frequent, length, prefix, f"{folder}/{prefix}")
+        marks += more
+    return reduce(DataFrame.unionAll, marks).groupBy("doc_id").agg(
         F.collect_list(F.struct("label", "low", "high")).alias("marks")
     )
 
