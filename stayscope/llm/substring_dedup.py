@@ -38,6 +38,8 @@ PREFIX = 8
 GROUP = 256
 #: Words of the subtrees that are built at once.
 TREE_WORDS = 300_000
+#: Texts handled at once in a task: their words take several arrays of 64-bit numbers.
+SLICE = 512 << 10
 ALL = 2**31 - 1
 
 
@@ -147,7 +149,7 @@ def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
 def _segment_rows(texts: DataFrame, length: int, prefix: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 s = segments_of(part.column("text"), length, prefix)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.prefix.view(np.int64)), pa.array(s.label.view(np.int64)),
@@ -180,7 +182,7 @@ def _pieces(texts: DataFrame, asked: DataFrame, length: int, prefix: int) -> Dat
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 s = segments_of(part.column("text"), length, prefix)
                 found = list(_asked(part, s))
                 which = np.array([k for k, _ in found], dtype=np.int64)
@@ -231,7 +233,7 @@ def _cut_again(pieces: DataFrame, length: int, prefix: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 s = segments_of(part.column("text"), length, prefix)
                 rows = pa.array(s.row)
                 offset = part.column("offset").to_numpy()[s.row] + (s.begin - s.first[s.row])
@@ -314,7 +316,7 @@ def remove_repeats(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 yield _kept(part, length, prefix)
 
     return marked.mapInArrow(
