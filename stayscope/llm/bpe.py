@@ -29,6 +29,7 @@ NONE = np.int32(2**31 - 1)
 
 _held: dict[str, "Ranks"] = {}
 _known: dict[str, KnownPieces] = {}
+_pieces: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
 class Ranks:
@@ -190,6 +191,18 @@ def ranks_of(content: bytes) -> Ranks:
     return _held[key]
 
 
+def pieces_of(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What each id stands for: sizes, begins and all bytes, made once per worker. Decoding needs no pairs."""
+    key = str(hash(content))
+    if key not in _pieces:
+        rank = {int(b): base64.b64decode(a) for a, b in (line.split() for line in content.splitlines() if line.strip())}
+        pieces = [rank.get(i, b"") for i in range(max(rank) + 1)]
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        begin = np.concatenate(([0], np.cumsum(sizes)))
+        _pieces[key] = sizes, begin, np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    return _pieces[key]
+
+
 def known_of(content: bytes) -> KnownPieces:
     """What the worker has met so far with this vocabulary, in this task or an earlier one."""
     return _known.setdefault(str(hash(content)), KnownPieces())
@@ -231,10 +244,7 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
         content = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = ranks_of(content.value)
-        sizes = np.fromiter(map(len, ranks.pieces), dtype=np.int64, count=len(ranks.pieces))
-        begin = np.concatenate(([0], np.cumsum(sizes)))
-        flat = np.frombuffer(b"".join(ranks.pieces), dtype=np.uint8)
+        sizes, begin, flat = pieces_of(content.value)
         for batch in batches:
             for part in _id_slices(batch):
                 lists = part.column("ids")
