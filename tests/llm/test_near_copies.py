@@ -1,0 +1,63 @@
+import random
+
+import corpus_pipeline
+from stayscope.llm.near_copies import near_copies
+from stayscope.llm.simhash_bktree import hashes_of
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def similarity(a, b):
+    a, b = (set(hashes_of(x, 5).tolist()) for x in (a, b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def brute(rows):
+    """The smallest row of each component of rows (doc_id, text) linked at 0.8."""
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if similarity(rows[i][1], rows[j][1]) >= 0.8:
+                x, y = label[i], label[j]
+                label = [min(x, y) if z in (x, y) else z for z in label]
+    return {min(r for r, z in zip(rows, label) if z == own) for own in set(label)}
+
+
+def edited(words, places):
+    return " ".join(f"new{random.random()}" if i in places else w for i, w in enumerate(words))
+
+
+def test_stage_keeps_one_of_edited_copies(spark):
+    random.seed(5)
+    rows = []
+    for g in range(60):
+        words = [f"w{random.randrange(500)}" for _ in range(random.choice([8, 40, 100, 400]))]
+        rows.append((10 * g, " ".join(words)))
+        for k in range(1, 4):
+            edits = random.randint(0, max(1, len(words) // 40))
+            rows.append((10 * g + k, edited(words, random.sample(range(len(words)), edits))))
+    # A chain: each text is similar to the next, the ends are not.
+    words = [f"c{i}" for i in range(200)]
+    for k in range(12):
+        rows.append((1000 + k, " ".join(words[8 * k:8 * k + 100])))
+    rows += [(2000, "a few words"), (2001, "A few  words"), (2002, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows] + [(None, "x", "en", "s", 1)] * 2, SCHEMA)
+    out = corpus_pipeline.near_dedup(spark, docs.repartition(3), None).collect()
+    assert {(r.doc_id, r.text) for r in out if r.doc_id is not None} == brute(rows)
+    assert sum(r.doc_id is None for r in out) == 2
+
+
+def test_recall_on_the_test_table(spark):
+    """Every pair of the table that shares 0.8 of its shingles ends in one component."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: set(hashes_of(r.text, 5).tolist()) for r in docs.collect()}
+    place, pairs = {}, set()
+    for i, own in texts.items():
+        for h in own:
+            place.setdefault(h, []).append(i)
+    for ids in place.values():
+        pairs |= {(a, b) for a in ids for b in ids if a < b}
+    close = [(a, b) for a, b in pairs if 5 * len(texts[a] & texts[b]) >= 4 * len(texts[a] | texts[b])]
+    component = {r.doc_id: r.component for r in near_copies(docs).collect()}
+    assert len(component) == docs.count() and len(close) > 50
+    assert sum(component[a] == component[b] for a, b in close) >= 0.99 * len(close)
