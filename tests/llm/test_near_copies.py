@@ -61,3 +61,11 @@ def test_recall_on_the_test_table(spark):
     component = {r.doc_id: r.component for r in near_copies(docs).collect()}
     assert len(component) == docs.count() and len(close) > 50
     assert sum(component[a] == component[b] for a, b in close) >= 0.99 * len(close)
+
+
+def test_rows_of_one_id_with_different_texts_are_two(spark):
+    long = [" ".join(f"{name}{i}" for i in range(60)) for name in "abc"]
+    rows = [(1, long[2]), (7, long[0]), (7, long[1]), (7, long[1]), (8, long[1] + " more"), (9, long[0]), (9, long[2])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    out = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, None).collect())
+    assert out == sorted([(1, long[2]), (7, long[0]), (7, long[1])])
