@@ -130,7 +130,7 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     """Perplexity of every text under a model of the trusted ones, and the verdict; see `kneser_ney`."""
     trusted = _table(spark, folder, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
-    return kneser_ney.judge(_table(spark, folder, "documents"), trusted, quantile=0.995, folds=4).drop("text_key")
+    return kneser_ney.judge(_table(spark, folder, "documents"), trusted, quantile=0.995, folds=4, word_quantile=0.995).drop("text_key")
 
 
 QUERIES = {

@@ -71,3 +71,12 @@ def test_trusted_documents_left_out_are_kept(spark):
     out_ids = trusted.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
     found = kneser_ney.judge(docs, trusted.join(out_ids, "doc_id", "left_anti"), 0.995, folds=4).join(out_ids, "doc_id")
     assert found.agg(F.avg(F.col("keep").cast("int"))).first()[0] >= 0.985
+
+
+def test_toxic_documents_in_fluent_text(spark):
+    judged = op10_kneser_ney(spark, FOLDER).join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id")
+    share = {(r.lang == "en", r.quality, r.toxic): r.kept for r in judged.groupBy(
+        F.expr("if(lang = 'en', lang, '')").alias("lang"), "quality", "toxic").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()}
+    # The toxic documents of the other languages hold no insult, only more of certain word stems.
+    assert share[True, 1, 1] < 0.02 and share[True, 1, 0] > 0.99 and share[False, 1, 0] > 0.99
+    assert share[True, 0, 0] < 0.1
