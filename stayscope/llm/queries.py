@@ -11,6 +11,7 @@ from stayscope.llm import (
     html_density,
     kneser_ney,
     language_zstd,
+    reversed_search,
     simhash_bktree,
     substring_dedup,
     token_counts,
@@ -133,6 +134,47 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.judge(_table(spark, folder, "documents"), trusted, quantile=0.995, folds=4, word_quantile=0.995).drop("text_key")
 
 
+def op11_reversed_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item; see `reversed_search`."""
+    return reversed_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10)
+
+
+OP11_SQL = r"""
+with counted as (
+  select row, doc_id, term, count(*) as tf
+  from (
+    select row_number() over () as row, doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+  )
+  group by all
+), docs as (
+  select row, cast(sum(tf) as bigint) as n from counted group by row
+), whole as (
+  select count(*) as big_n, cast(sum(n) as bigint) as big_l from docs
+), asked as (
+  select distinct item_id, text, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), weighed as (
+  select term, cast(floor(1000 * ln(cast(2 * big_n + 2 as double) / (2 * count(*) + 1))) as bigint) as w
+  from counted, whole group by term, big_n
+), scored as (
+  select item_id, a.text, c.row, any_value(c.doc_id) as doc_id,
+         cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l)))) as bigint) as score
+  from asked a join counted c using (term) join weighed using (term) join docs using (row), whole
+  group by 1, 2, 3
+), ranked as (
+  select item_id, doc_id, score, cast(row_number() over (
+    partition by item_id, text order by score desc, doc_id nulls last) as integer) as rank
+  from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_bktree": op2_simhash_bktree,
@@ -144,8 +186,10 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_reversed_search": op11_reversed_search,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op6_topk_tiles": OP6_SQL,
+    "op11_reversed_search": OP11_SQL,
 }
