@@ -17,6 +17,7 @@ from stayscope.llm import (
     token_counts,
     token_store,
     topk_tiles,
+    warc_archive,
 )
 from stayscope.session import shared_folder
 
@@ -175,6 +176,32 @@ select item_id, rank, doc_id, score from ranked where rank <= 10
 """
 
 
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a WARC record, archived by content and read back; see `warc_archive`."""
+    archive = shared_folder(spark)
+    warc_archive.write_archive(warc_archive.page_records(_table(spark, folder, "pages")), archive)
+    return warc_archive.page_facts(warc_archive.read_archive(spark, archive))
+
+
+OP12_SQL = """
+with records as (
+  select page_id, coalesce(url, '') as url, coalesce(html, '') as html, md5(coalesce(html, '')) as body,
+         row_number() over () as place
+  from pages
+), ranked as (
+  select *, octet_length(encode(html)) as payload_bytes,
+         row_number() over (partition by body order by page_id desc nulls last, url desc, place) as nth,
+         first_value(page_id) over (partition by body order by page_id desc nulls last, url desc, place) as top
+  from records
+)
+select page_id, replace(replace(url, chr(13), '%0D'), chr(10), '%0A') as url,
+       cast(payload_bytes as bigint) as payload_bytes, sha1(html) as payload_digest,
+       case when payload_bytes < 1000 or nth = 1 then 'response' else 'revisit' end as record_type,
+       case when payload_bytes >= 1000 and nth > 1 then top end as refers_to
+from ranked
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_bktree": op2_simhash_bktree,
@@ -187,9 +214,11 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_kneser_ney": op10_kneser_ney,
     "op11_reversed_search": op11_reversed_search,
+    "op12_warc": op12_warc,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op6_topk_tiles": OP6_SQL,
     "op11_reversed_search": OP11_SQL,
+    "op12_warc": OP12_SQL,
 }
