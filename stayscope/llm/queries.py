@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayscope.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
     html_density,
     kneser_ney,
@@ -202,6 +203,87 @@ from ranked
 """
 
 
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation hurt by the hash of its rows' names, its faults and its repair; see `conversation_repair`."""
+    return conversation_repair.summaries(conversation_repair.damaged(_table(spark, folder, "conversations")))
+
+
+OP13_SQL = r"""
+with recursive rows_ as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as name
+  from conversations
+), fated as (
+  select *, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), flatten(list_transform(
+      range(1, length(name) + 1), lambda i: list_transform(range(0, 8), lambda b: (cast(ascii(name[i]) as bigint) >> b) & 1)))),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) % 20 as fate
+  from rows_
+), hurt as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+         case fate when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(case when fate = 3 then [0, 1] else [0] end) as copy
+  from fated where fate <> 0
+), placed as (
+  select *, rtrim(text, e' \t\n\x0b\x0c\r') as body, left(role, 1) as initial, row_number() over (
+    partition by conv_id order by turn nulls first, sha256(length(role) || ':' || role || text), copy) as i
+  from hurt
+), faulty as (
+  select conv_id, turn, role, text, initial, i, count(*) over (partition by conv_id) as n,
+         lag(initial) over (partition by conv_id order by i) || initial as pair,
+         case when body = '' then 'b'
+              when row_number() over (partition by conv_id, role, text order by i) > 1 then 'd'
+              when right(body, 1) in ('.', '!', '?') then '.' else 't' end as fault
+  from placed
+), steps as (
+  -- Cheapest edits of the rows from i on, by the state before: nothing, after s, after u, after a.
+  select conv_id, max(n) + 1 as i, {'c': 0, 'a': '', 'r': ''} as v0,
+         {'c': 4, 'a': 'II', 'r': e'\nuser:\nassistant:'} as v1,
+         {'c': 2, 'a': 'I', 'r': e'\nassistant:'} as v2, {'c': 0, 'a': '', 'r': ''} as v3
+  from faulty group by conv_id
+  union all
+  select conv_id, i,
+         list_sort([w0, {'c': 2 + w2.c, 'a': 'I' || w2.a, 'r': e'\nuser:' || w2.r},
+                    {'c': 4 + w3.c, 'a': 'II' || w3.a, 'r': e'\nuser:\nassistant:' || w3.r}])[1],
+         list_sort([w1, {'c': 2 + w2.c, 'a': 'I' || w2.a, 'r': e'\nuser:' || w2.r},
+                    {'c': 4 + w3.c, 'a': 'II' || w3.a, 'r': e'\nuser:\nassistant:' || w3.r}])[1],
+         list_sort([w2, {'c': 2 + w3.c, 'a': 'I' || w3.a, 'r': e'\nassistant:' || w3.r}])[1],
+         list_sort([w3, {'c': 2 + w2.c, 'a': 'I' || w2.a, 'r': e'\nuser:' || w2.r}])[1]
+  from (
+    select conv_id, i,
+           list_sort([del0, {'c': v2.c + given, 'a': 'R' || v2.a, 'r': e'\nuser:' || text || v2.r},
+             case initial when 's' then {'c': v1.c + stay, 'a': 'K' || v1.a, 'r': line || v1.r}
+                          when 'u' then {'c': v2.c + stay, 'a': 'K' || v2.a, 'r': line || v2.r} else del0 end])[1] as w0,
+           list_sort([del1, {'c': v2.c + given, 'a': 'R' || v2.a, 'r': e'\nuser:' || text || v2.r},
+             case initial when 'u' then {'c': v2.c + stay, 'a': 'K' || v2.a, 'r': line || v2.r} else del1 end])[1] as w1,
+           list_sort([del2, {'c': v3.c + given, 'a': 'R' || v3.a, 'r': e'\nassistant:' || text || v3.r},
+             case initial when 'a' then {'c': v3.c + stay, 'a': 'K' || v3.a, 'r': line || v3.r} else del2 end])[1] as w2,
+           list_sort([del3, {'c': v2.c + given, 'a': 'R' || v2.a, 'r': e'\nuser:' || text || v2.r},
+             case initial when 'u' then {'c': v2.c + stay, 'a': 'K' || v2.a, 'r': line || v2.r} else del3 end])[1] as w3
+    from (
+      select s.conv_id, f.i, f.initial, f.text, e'\n' || f.role || ':' || f.text as line, s.v1, s.v2, s.v3,
+             case fault when 'b' then 1000000 when 'd' then 1000000 when 't' then 1 else 0 end as stay,
+             case fault when 'b' then 1000000 when 'd' then 1000000 when 't' then 3 else 2 end as given,
+             {'c': 3 + v0.c, 'a': 'D' || v0.a, 'r': v0.r} as del0, {'c': 3 + v1.c, 'a': 'D' || v1.a, 'r': v1.r} as del1,
+             {'c': 3 + v2.c, 'a': 'D' || v2.a, 'r': v2.r} as del2, {'c': 3 + v3.c, 'a': 'D' || v3.a, 'r': v3.r} as del3
+      from steps s join faulty f on f.conv_id is not distinct from s.conv_id and f.i = s.i - 1
+    )
+  )
+), counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+         count(*) filter (fault = 't') as truncated,
+         count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+  from faulty group by conv_id
+)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(v0.c, 0) as bigint) as cost,
+       coalesce(v0.a, '') as audit, sha256(coalesce(substr(v0.r, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join counted k on k.conv_id is not distinct from c.conv_id
+left join (select * from steps where i = 1) s on s.conv_id is not distinct from c.conv_id
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_bktree": op2_simhash_bktree,
@@ -215,10 +297,12 @@ QUERIES = {
     "op10_kneser_ney": op10_kneser_ney,
     "op11_reversed_search": op11_reversed_search,
     "op12_warc": op12_warc,
+    "op13_conversations": op13_conversations,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op6_topk_tiles": OP6_SQL,
     "op11_reversed_search": OP11_SQL,
     "op12_warc": OP12_SQL,
+    "op13_conversations": OP13_SQL,
 }
