@@ -61,11 +61,6 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def lean(rows: int) -> int:
-    """Partitions for a table of so many small rows."""
-    return max(1, rows // 1_000_000)
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and where each begins (with the end)."""
     column = column.fill_null("") if column.null_count else column

@@ -234,7 +234,9 @@ def totals(texts: DataFrame, logs: DataFrame, folder: str, table_bytes: int = TA
     if not every:
         scored = kept(scored, f"{folder}/scored")
         text = ["text_key", "n", "fold"]
-        more = scored.dropDuplicates(text).select(*text, F.inline("rest")).join(logs.drop("freq"), "key")
+        # In single precision as in the table, so that no verdict depends on what fits there.
+        logs = logs.select("key", *(F.col(c).cast("float").cast("double").alias(c) for c in names))
+        more = scored.dropDuplicates(text).select(*text, F.inline("rest")).join(logs, "key")
         own = F.element_at(F.array(*names), F.col("fold") + 1)
         words = more.groupBy(*text, "word").agg(
             F.sum(F.col("freq") * F.col("logp0")).alias("more"), F.sum(F.col("freq") * own).alias("held_more"),

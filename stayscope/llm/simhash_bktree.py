@@ -46,7 +46,13 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     characters. A bit is 1 if set in over half of the shingles' hashes. A
     text without words, or null, has the fingerprint 0.
     """
-    bound_batches(docs.sparkSession)
+    return _prints(keyed_texts(docs, id_col, text_col), shingle)
+
+
+def _prints(texts: DataFrame, shingle: int) -> DataFrame:
+    """The rows with fp in place of their text."""
+    bound_batches(texts.sparkSession)
+    names = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,10 +69,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
                     most = (2 * ones > sizes[full, None]).astype(np.uint8)
                     out[full] = np.packbits(most, axis=1, bitorder="little").copy().view("<u8").ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(out.view(np.int64))], names=["doc_id", "fp"]
+                    [*(part.column(c) for c in names), pa.array(out.view(np.int64))], names=[*names, "fp"]
                 )
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, fp bigint")
+    return texts.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*names, "fp"]))
 
 
 def shard_masks(radius: int) -> list[int]:
@@ -176,8 +182,9 @@ class BKForest:
             return
         size = np.bincount(self.root, minlength=n)[self.root]
         lots = np.cumsum(size) // FRONTIER
-        for lot in np.unique(lots).tolist():
-            query = np.flatnonzero(lots == lot)
+        ends = np.flatnonzero(np.append(lots[1:] != lots[:-1], True)) + 1
+        for begin, end in zip([0, *ends.tolist()], ends.tolist()):
+            query = np.arange(begin, end)
             at = self.root[query]
             while len(query):
                 gap = np.bitwise_count(self.prints[query] ^ self.prints[at]).astype(np.int64)
@@ -213,6 +220,23 @@ def near_duplicates(
     return prints.join(named, "fp", "left").select("doc_id", "fp", component.alias("component_id"))
 
 
+def copy_groups(
+    docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, text_key (a hash of the text) and group of every row that has an id.
+
+    The groups are those of `near_duplicates`, but rows of one id and different
+    texts are rows of their own: groups are worked out over the fingerprints
+    alone, and a group is named by one of them.
+    """
+    folder = shared_folder(docs.sparkSession)
+    texts = keyed_texts(docs, id_col, text_col).filter("doc_id is not null").withColumn("text_key", F.xxhash64("text"))
+    prints = kept(_prints(texts, shingle), f"{folder}/prints")
+    distinct = kept(prints.select(F.col("fp").alias("node"), "fp").distinct(), f"{folder}/distinct")
+    found = components(link_stars(distinct, radius), f"{folder}/links").withColumnRenamed("node", "fp")
+    return prints.join(found, "fp", "left").select("doc_id", "text_key", F.coalesce("component", "fp").alias("group"))
+
+
 def digests(found: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of what `near_duplicates` returns."""
     return found.select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")

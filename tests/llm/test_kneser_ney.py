@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter, defaultdict
+from functools import cache
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,6 +24,12 @@ def ngrams(text):
 
 def brute(rows, trusted):
     """Log probability and n-grams of each text under the model of the trusted ones."""
+    p = brute_model(rows, trusted)
+    return [(sum(math.log(p(g)) for g in ngrams(t or "")), len(ngrams(t or ""))) for _, t, *_ in rows]
+
+
+def brute_model(rows, trusted):
+    """The probability of an n-gram of the table under the model of the trusted texts."""
     counts = {4: Counter(g for i, t, *_ in rows if i in trusted for g in ngrams(t or ""))}
     asked = {4: {g for _, t, *_ in rows for g in ngrams(t or "")}}
     for m in (3, 2, 1):
@@ -43,6 +50,7 @@ def brute(rows, trusted):
             totals[m, g[:-1]] += c
             spread[m, g[:-1]] += taken[m](c)
 
+    @cache
     def p(g):
         m = len(g)
         if not m:
@@ -54,7 +62,7 @@ def brute(rows, trusted):
         own = max(c - taken[m](c), 0) if c else 0
         return (own + spread[m, g[:-1]] * below) / total
 
-    return [(sum(math.log(p(g)) for g in ngrams(t or "")), len(ngrams(t or ""))) for _, t, *_ in rows]
+    return p
 
 
 def table():
