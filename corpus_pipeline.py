@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayscope.llm import bpe, decontaminate, kneser_ney, near_copies, substring_dedup
+from stayscope.llm import bpe, decontaminate, kneser_ney, simhash_bktree, substring_dedup
 from stayscope.session import shared_folder
 
 
@@ -29,12 +29,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the row of smallest id and text, once.
+    """Of each group of near copies (SimHash of 3-word shingles, 2 bits) the row of smallest id and text, once.
 
     A row is named by its id and text; rows without an id all stay.
     """
-    found = near_copies.near_copies(docs, shingle=5, similarity=0.8)
-    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*")
+    found = simhash_bktree.copy_groups(docs, shingle=3, radius=2)
+    first = found.groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*")
     kept = _of_rows(docs, first, "left_semi").dropDuplicates(["doc_id", "text_key"])
     return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
