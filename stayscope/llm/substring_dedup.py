@@ -12,7 +12,8 @@ filed under that prefix:
 3. The different segments of a prefix go to one task, which builds the subtree
    of their suffixes to depth L, level by level. Internal nodes at that depth
    are the repeats; a suffix below a node with a smaller document repeats it.
-4. A prefix with more than GROUP segments would not fit: it is lengthened.
+4. A prefix with more than GROUP segments, or GROUP_WORDS words in them, would
+   not fit: it is lengthened.
    Its segments are cut again by the least run of more words, half of what
    is missing to a whole window at a time, and go through 1 to 4 again. A
    prefix as long as the window is a node by itself.
@@ -34,8 +35,9 @@ from stayscope.session import shared_folder
 
 LENGTH = 50
 PREFIX = 8
-#: Segments of one prefix in a subtree.
+#: Segments of one prefix in a subtree, and their words: a text of one repeated phrase is a single long segment.
 GROUP = 256
+GROUP_WORDS = 1_000_000
 #: Words of the subtrees that are built at once.
 TREE_WORDS = 300_000
 #: Texts handled at once in a task: their words take several arrays of 64-bit numbers.
@@ -153,10 +155,18 @@ def _segment_rows(texts: DataFrame, length: int, prefix: int) -> DataFrame:
                 s = segments_of(part.column("text"), length, prefix)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.prefix.view(np.int64)), pa.array(s.label.view(np.int64)),
-                     part.column("doc_id").take(pa.array(s.row))], names=["prefix", "label", "doc_id"]
+                     part.column("doc_id").take(pa.array(s.row)), pa.array(s.count, pa.int32())],
+                    names=["prefix", "label", "doc_id", "windows"],
                 )
 
-    return texts.mapInArrow(run, "prefix bigint, label bigint, doc_id bigint")
+    return texts.mapInArrow(run, "prefix bigint, label bigint, doc_id bigint, windows int")
+
+
+def _sizes(leaves: DataFrame, length: int) -> DataFrame:
+    """prefix and fits, for each prefix with several different segments: do they fit in one subtree?"""
+    words = F.sum(F.col("windows").cast("bigint") + (length - 1))
+    sizes = leaves.groupBy("prefix").agg(F.count("*").alias("n"), words.alias("words")).filter("n > 1")
+    return sizes.select("prefix", ((F.col("n") <= GROUP) & (F.col("words") <= GROUP_WORDS)).alias("fits"))
 
 
 def _asked(part: pa.RecordBatch, s: Segments) -> Iterator[tuple[int, int]]:
@@ -250,15 +260,15 @@ def _cut_again(pieces: DataFrame, length: int, prefix: int) -> DataFrame:
 def _lengthened(pieces: DataFrame, length: int, prefix: int, folder: str) -> tuple[list[DataFrame], DataFrame]:
     """Marks of pieces under a longer prefix, and the pieces whose prefix is still too frequent."""
     again = kept(_cut_again(pieces, length, prefix), f"{folder}/again")
-    leaves = again.groupBy("prefix", "part").agg(F.min("doc_id").alias("least"))
-    first = again.join(leaves, ["prefix", "part"])
+    leaves = again.groupBy("prefix", "part").agg(F.min("doc_id").alias("least"), F.max("windows").alias("windows"))
+    first = again.join(leaves.drop("windows"), ["prefix", "part"])
     copies = first.filter("doc_id > least").select(
         "doc_id", "label", F.col("offset").alias("low"), (F.col("offset") + F.col("windows")).alias("high")
     )
-    sizes = leaves.groupBy("prefix").agg(F.count("*").alias("n")).filter("n > 1")
-    sized = first.filter("doc_id = least").join(sizes, "prefix").select("doc_id", "label", "offset", "prefix", "text", "n")
-    trees = _subtree_marks(sized.filter(F.col("n") <= GROUP).drop("n"), length)
-    return [copies, trees], kept(sized.filter(F.col("n") > GROUP).drop("n"), f"{folder}/frequent")
+    sized = first.filter("doc_id = least").join(_sizes(leaves, length), "prefix")
+    sized = sized.select("doc_id", "label", "offset", "prefix", "text", "fits")
+    trees = _subtree_marks(sized.filter("fits").drop("fits"), length)
+    return [copies, trees], kept(sized.filter("not fits").drop("fits"), f"{folder}/frequent")
 
 
 def repeat_marks(texts: DataFrame, length: int, prefix: int, folder: str) -> DataFrame:
@@ -266,17 +276,17 @@ def repeat_marks(texts: DataFrame, length: int, prefix: int, folder: str) -> Dat
     every = kept(_segment_rows(texts, length, prefix), f"{folder}/segments")
     several = every.groupBy("prefix").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     shared = kept(every.join(several.select("prefix"), "prefix", "left_semi"), f"{folder}/shared")
-    leaves = kept(shared.groupBy("prefix", "label").agg(F.min("doc_id").alias("least")), f"{folder}/leaves")
-    copies = shared.join(leaves, ["prefix", "label"]).filter("doc_id > least").select(
+    leaves = shared.groupBy("prefix", "label").agg(F.min("doc_id").alias("least"), F.max("windows").alias("windows"))
+    leaves = kept(leaves, f"{folder}/leaves")
+    copies = shared.join(leaves.drop("windows"), ["prefix", "label"]).filter("doc_id > least").select(
         "doc_id", "label", F.lit(0).alias("low"), F.lit(ALL).alias("high")
     )
-    sizes = leaves.groupBy("prefix").agg(F.count("*").alias("n")).filter("n > 1")
-    sized = leaves.join(sizes, "prefix").select(F.col("least").alias("doc_id"), "label", "n")
+    sized = leaves.join(_sizes(leaves, length), "prefix").select(F.col("least").alias("doc_id"), "label", "fits")
 
     def lists(rows: DataFrame) -> DataFrame:
         return rows.groupBy("doc_id").agg(F.collect_set("label").alias("labels"))
 
-    few, many = sized.filter(F.col("n") <= GROUP), sized.filter(F.col("n") > GROUP)
+    few, many = sized.filter("fits"), sized.filter("not fits")
     marks = [copies, _subtree_marks(_pieces(texts, lists(few), length, prefix), length)]
     # Written first, so that Spark knows their size and sends few of them to the texts.
     asked = kept(lists(many), f"{folder}/asked")

@@ -99,3 +99,12 @@ def test_suffix_nodes(segments, length):
 
 def test_empty_table(spark):
     assert run(spark, [], 50, 8)[0] == []
+
+
+@pytest.mark.parametrize("words", [1_000_000, 3000])
+def test_long_periodic_texts(spark, monkeypatch, words):
+    """One repeated line makes a single segment of a whole text; a group is bounded by its words, not only its segments."""
+    monkeypatch.setattr(substring_dedup, "GROUP_WORDS", words)
+    line = " ".join(f"p{i}" for i in range(40))
+    rows = [(100 - i, f"own{i} " + f"{line} " * (3 + 2 * i) + f"end{i % 5}", None, None) for i in range(24)]
+    assert run(spark, rows, 50, 8)[0] == brute(rows, 50)
