@@ -34,7 +34,9 @@ WORD_PRIOR = 2
 _BLANK = np.zeros(1 << 16, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32, 0xA0, 0x3000]] = True
 #: N-grams tallied in a task before they are handed on.
-TALLIED = 1_000_000
+TALLIED = 300_000
+#: Texts handled at once in a task: every unit takes several arrays of 64-bit numbers.
+SLICE = 256 << 10
 #: Ids sent to every task to mark trusted rows; more of them are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 #: Before and after a text stand control units.
@@ -89,7 +91,7 @@ def _tally(texts: DataFrame, folds: int = 0) -> DataFrame:
             )
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 keys, bounds = grams(part.column("text").to_pylist())
                 trusted = np.repeat(part.column("trusted").to_numpy(zero_copy_only=False), np.diff(bounds))
                 fold = np.repeat(part.column("fold").to_numpy(), np.diff(bounds))
@@ -204,7 +206,7 @@ def totals(texts: DataFrame, logs: DataFrame, folder: str, table_bytes: int = TA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, logs_of = sent.value
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 found, bounds = grams(part.column("text").to_pylist())
                 fold = part.column("fold").to_numpy()
                 at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
