@@ -381,6 +381,14 @@ select username, md5(hotel_name || '|' || review_date || '|' || review_text) as
     "keyed_upsert": """
 select doc_id, lang, source, md5(text) as key from (
   select *, row_number() over (partition by text order by doc_id desc) as n from documents) where n = 1""",
+    "held_set_loads": """
+with first as (select *, row_number() over (partition by text order by doc_id desc) as n from documents),
+again as (
+  select *, row_number() over (partition by text order by doc_id desc) as n from documents where lang in ('fr', 'de'))
+select doc_id, lang, source, md5(text) as key from first
+where n = 1 and not exists (select 1 from again where again.text is not distinct from first.text)
+union all
+select doc_id, lang, 'again', md5(text) from again where n = 1 and lang = 'fr'""",
     "schema_contract": f"with {CLEAN} select * from clean",
     "parquet_roundtrip": """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as o_orderdate,

@@ -30,6 +30,7 @@ from stayscope.session import shared_folder
 from stayscope.sources.contracts import (
     CLEAN_REVIEWS, METRICS, VECTOR_REVIEWS, check_contract, conform, dots_to_underscores, plain_names,
 )
+from stayscope.sources.held_sets import load, read_set
 from stayscope.sources.files import read_csv, read_report, write_csv, write_report, write_table
 
 BOARD_FROM, BOARD_TO = "1981-01-01", "2000-12-31"
@@ -122,6 +123,16 @@ def keyed_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return keep_last_by_key(rows, "key", ["doc_id"])
 
 
+def held_set_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents loaded into a held set; then the French ones under another source, and the German ones taken out."""
+    held = shared_folder(spark)
+    rows = views.documents(spark, folder).select("doc_id", "lang", "source", doc_key("text").alias("key"))
+    load(rows, held, "key", ["doc_id"], buckets=64)
+    again = rows.filter(F.col("lang").isin("fr", "de")).withColumn("source", F.lit("again"))
+    load(again.withColumn("gone", F.col("lang") == "de"), held, "key", ["doc_id"], deleted_col="gone")
+    return read_set(spark, held)
+
+
 def schema_contract(spark: SparkSession, folder: str) -> DataFrame:
     untyped = flagship(spark, folder).select(
         *[F.col(name).cast("string") for name in reversed(CLEAN_REVIEWS.fieldNames())],
@@ -482,6 +493,7 @@ QUERIES = {
     "iso_date": iso_date_query,
     "doc_key": doc_key_query,
     "keyed_upsert": keyed_upsert,
+    "held_set_loads": held_set_loads,
     "schema_contract": schema_contract,
     "parquet_roundtrip": parquet_roundtrip,
     "csv_roundtrip": csv_roundtrip,
