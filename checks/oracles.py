@@ -394,6 +394,7 @@ select doc_id, lang, 'again', md5(text) from again where n = 1 and lang = 'fr'""
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as o_orderdate,
        o_orderpriority, (select count(*) from orders) as written from orders""",
     "csv_roundtrip": "select * from documents",
+    "large_csv_roundtrip": "select * from documents",
     "report_roundtrip": f"with {CHARTS} select region, sentiment, count(*) as count from charted group by 1, 2",
     "language_detect": LANGUAGE,
     "reviews_clean_detected": f"with {CLEAN_DETECTED} select * from any_clean where review_full_text in (select text from english)",

@@ -30,8 +30,9 @@ from stayscope.session import shared_folder
 from stayscope.sources.contracts import (
     CLEAN_REVIEWS, METRICS, VECTOR_REVIEWS, check_contract, conform, dots_to_underscores, plain_names,
 )
-from stayscope.sources.held_sets import load, read_set
 from stayscope.sources.files import read_csv, read_report, write_csv, write_report, write_table
+from stayscope.sources.held_sets import load, read_set
+from stayscope.sources.large_csv import read_large_csv
 
 BOARD_FROM, BOARD_TO = "1981-01-01", "2000-12-31"
 EVENTS_FROM, EVENTS_TO = "2024-01-08", "2024-01-15"
@@ -158,6 +159,14 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.withColumns({c: F.col(c).cast("bigint") for c in ("doc_id", "n_chars")})
 
 
+def large_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files, read in splits although their fields hold line breaks."""
+    target = shared_folder(spark)
+    write_csv(views.documents(spark, folder), target)
+    back = read_large_csv(spark, target)
+    return back.withColumns({c: F.col(c).cast("bigint") for c in ("doc_id", "n_chars")})
+
+
 def report_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     target = shared_folder(spark)
     write_report(charts.sentiment_by_region(views.rated_orders(spark, folder)), target)
@@ -497,6 +506,7 @@ QUERIES = {
     "schema_contract": schema_contract,
     "parquet_roundtrip": parquet_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "large_csv_roundtrip": large_csv_roundtrip,
     "report_roundtrip": report_roundtrip,
     "language_detect": language_detect,
     "reviews_clean_detected": reviews_clean_detected,
