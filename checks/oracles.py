@@ -457,6 +457,10 @@ select doc_id, slot, round(tf * idf, 6) as weight from tf join idf using (slot)
     "string_index": f"""
 with {_category('source')}, {_category('lang')}
 select doc_id, source, lang, source_index, lang_index
+from documents join source_order using (source) join lang_order using (lang)""",
+    "frequency_index": f"""
+with {_category('source')}, {_category('lang')}
+select doc_id, source, lang, source_index, lang_index
 from documents join source_order using (source) join lang_order using (lang)""",
     "one_hot": f"""
 with {_category('source')}, {_category('lang')}

@@ -9,6 +9,7 @@ from checks import views
 from stayscope.functions.keys import doc_key, iso_date, nan_to_null
 from stayscope.functions.text import full_text, sentiment
 from stayscope.operators import charts, metrics
+from stayscope.operators.category_ranks import add_frequency_index
 from stayscope.operators.classifiers import LOGISTIC_REGRESSION, RANDOM_FOREST, train_and_score
 from stayscope.operators.cleaning import (
     clean_reviews, enrich, in_rating_range, project_catalog, project_reviews,
@@ -326,6 +327,12 @@ def string_index(spark: SparkSession, folder: str) -> DataFrame:
     return category_index(category_index(rows, "source"), "lang")
 
 
+def frequency_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The same indices from distributed ranks, with no label on the driver."""
+    rows = views.table(spark, folder, "documents").select("doc_id", "source", "lang")
+    return add_frequency_index(add_frequency_index(rows, "source"), "lang")
+
+
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     rows = string_index(spark, folder)
     encoder = category_stages(["source", "lang"])[-1]
@@ -526,6 +533,7 @@ QUERIES = {
     "hashed_tf": hashed_counts,
     "tfidf": tfidf,
     "string_index": string_index,
+    "frequency_index": frequency_index,
     "one_hot": one_hot,
     "lr_predict": lr_predict,
     "rf_predict": rf_predict,
