@@ -1,4 +1,7 @@
+import math
+import random
 import re
+import time
 
 import pytest
 
@@ -39,6 +42,124 @@ def test_very_long_page():
     assert main_text(page).count("\n\n") == 19999
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='layout has-sidebar'>", "<div class=no-comments>", "<div class='with-social-share'>", "<div id=page-widget-area>",
+    "<div class='content related'>", "<div class='entry-header-wrap hero'>", "<form action=x><input name=state>",
+    "<form><div class='popup'>", "<div role=dialog>",
+])
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "%s", "<div class=story>%s</div>"])
+def test_a_vote_against_the_node_around_the_content_does_not_count(wrapper, inner):
+    body = inner % f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>"
+    page = f"<body><div class=menu><p>{LONG}</p></div>{wrapper}{body}<div class=sidebar><p>{LONG}</p></div></body>"
+    assert main_text(page) == "\n\n".join(["Head", LONG, LONG, LONG])
+
+
+@pytest.mark.parametrize("comment", ["<article><p>%s</p></article>", "<article class=x><h4>me</h4>%s</article>", "<form><p>%s</p></form>",
+                                     "<ol class=comment-list><li><article>%s</article></ol>"])
+@pytest.mark.parametrize("times", [1, 60])
+def test_reader_comments_however_long_are_left_out(comment, times):
+    page = f"<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p>{comment % (LONG + ' ') * times}</article>"
+    assert main_text(page) == f"Head\n\n{LONG}\n\n{LONG}"
+    after = f"<div class=story><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div id=comments>{comment % LONG * times}</div>"
+    assert main_text(after) == f"{LONG}\n\n{LONG}\n\n{LONG}"
+
+
+def test_articles_side_by_side_in_one_article_are_no_comments():
+    page = "<article><h1>Live</h1>" + "".join(f"<article><p>{LONG}</p></article>" for _ in range(3)) + "</article>"
+    assert main_text(page) == "\n\n".join(["Live", LONG, LONG, LONG])
+
+
+@pytest.mark.parametrize("page", [
+    "<i>" * 80000 + "x" + "</b>" * 80000, "<b><div>" + "<i>" * 40000 + "x" + "</b>" * 40000, "<span><p>" * 40000 + "x",
+    "<a>" * 80000 + "x", "<div><h2>" * 40000 + "x" + "</p>" * 40000, "<li>" * 80000 + "x",
+])
+def test_stray_tags_take_linear_time(page):
+    began = time.process_time()
+    assert main_text(page) in ("x", "")
+    assert time.process_time() - began < 8
+
+
+def _random_tree(rng, depth=0):
+    if depth and rng.random() < 0.35 or depth > 5:
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            words = " ".join(rng.choice(["stone", "river", "a", "of", "longer"]) for _ in range(rng.randint(1, 25)))
+            parts.append(("a", [words]) if rng.random() < 0.3 else ("b", [words]) if rng.random() < 0.2 else words)
+        return ("p", parts)
+    return (rng.choice(["div", "section", "ul"]), [_random_tree(rng, depth + 1) for _ in range(rng.randint(1, 4))])
+
+
+def _html(node):
+    return node if isinstance(node, str) else f"<{node[0]}>" + " ".join(map(_html, node[1])) + f"</{node[0]}>"
+
+
+def _plain_loop_text(root):
+    """Composite text density by its definition, each figure worked out anew for each node."""
+    def texts(node, in_link=False):
+        for child in node[1]:
+            if isinstance(child, str):
+                yield child, in_link or node[0] == "a"
+            else:
+                yield from texts(child, in_link or node[0] == "a")
+
+    def below(node):
+        for child in node[1]:
+            if not isinstance(child, str):
+                yield child
+                yield from below(child)
+
+    size = lambda text: len(text.replace(" ", ""))
+    chars = lambda node: sum(size(t) for t, _ in texts(node))
+    linked = lambda node: chars(node) if node[0] == "a" else sum(size(t) for t, link in texts(node) if link)
+    share = linked(root) / max(1, chars(root))
+
+    def density(node):
+        c, lc = chars(node), linked(node)
+        if not c:
+            return 0.0
+        tags, link_tags = max(1, len(list(below(node)))), max(1, sum(n[0] == "a" for n in below(node)))
+        base = max(1.0, math.log(c / max(1, c - lc) * lc + share * c + math.e))
+        return c / tags * math.log(max(1.0, c / max(1, lc) * tags / link_tags)) / base
+
+    def total(node):
+        own = 0 if node[0] in "ab" else sum(size(c) for c in node[1] if isinstance(c, str))
+        return own + sum(density(c) for c in node[1] if not isinstance(c, str))
+
+    every = [root, *below(root)]
+    best = lambda node: max([node, *below(node)], key=total)
+    top = best(root)
+    path = [n for n in every if n is top or any(b is top for b in below(n))]
+    threshold = min(map(density, path))
+    chosen = [best(n) for n in every if chars(n) and density(n) >= threshold]
+
+    def blocks(node, inside):
+        inside = inside or any(node is c for c in chosen)
+        if node[0] == "p" or inside and node[0] in "ab":
+            return [words] if (words := " ".join(pieces(node, inside))) else []
+        return [b for child in node[1] for b in blocks(child, inside)]
+
+    def pieces(node, inside):
+        for child in node[1]:
+            if isinstance(child, str):
+                if inside:
+                    yield child
+            else:
+                yield from pieces(child, inside or any(child is c for c in chosen))
+
+    return "\n\n".join(blocks(root, False))
+
+
+def test_density_against_a_plain_loop():
+    rng = random.Random(5)
+    shorter = 0
+    for _ in range(150):
+        root = ("body", [_random_tree(rng) for _ in range(rng.randint(1, 4))])
+        want = _plain_loop_text(root)
+        assert main_text(_html(root)) == want
+        shorter += len(want.split()) < len(re.sub("<[^>]*>", " ", _html(root)).split())
+    assert shorter > 20
+
+
 def test_pages_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in html_density.extract(pages).collect()}
