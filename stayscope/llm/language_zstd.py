@@ -7,11 +7,11 @@ wins. A narrow margin means that the codes cannot tell, and may be rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -27,7 +27,7 @@ SAMPLED_TEXT_BYTES = 64 << 10
 CHUNK_BYTES = 4 << 10
 UNDECIDED = "und"
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+_NO_LETTER = regex.compile(r"\P{L}+")
 _made: dict[str, list] = {}
 
 

@@ -1,3 +1,7 @@
+import re
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stayscope.llm import language_zstd
@@ -34,6 +38,28 @@ def test_edges(spark):
     assert language_zstd.identify(docs, made).count() == len(rows)
 
 
+@pytest.mark.parametrize("text", ["½", "② ⅓", "Ⅷ ⁵", "_ 12 ३", "\u0301", "é½"])
+def test_number_signs_are_no_letters(spark, text):
+    docs = spark.createDataFrame([(1, text, None, None)], SCHEMA)
+    made = {"en": b"the river ran over the stones", "de": b"der fluss rann"}
+    got = language_zstd.identify(docs, made).first().lang_pred
+    assert (got == "und") == (not any(c.isalpha() for c in text))
+
+
+def test_every_answer_against_a_plain_loop(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = language_zstd.fit_dictionaries(docs)
+    coders = language_zstd._coders(made)
+    rows = docs.select("doc_id", "text").collect()
+    want = {}
+    for row in rows:
+        words = "".join(c if c.isalpha() else " " for c in (row.text or "").lower()).split()
+        code = " ".join(words).encode()
+        sizes = [sum(len(coder.compress(code[i:i + 4096])) for i in range(0, len(code), 4096)) for coder in coders]
+        want[row.doc_id] = list(made)[int(np.argmin(sizes))] if re.search("[a-z]", " ".join(words)) else "und"
+    assert {r.doc_id: r.lang_pred for r in language_zstd.identify(docs, made).collect()} == want
+
+
 def test_narrow_margin_is_rejected(spark):
     docs = spark.createDataFrame([(1, "qqqq zzzz", None, None), (2, "the river ran over", None, None)], SCHEMA)
     made = {"aa": b"the river ran over the stones", "bb": b"der fluss rann"}
