@@ -5,6 +5,9 @@ m characters may differ by k = m // EDIT_SHARE edits. It is split into k + 1
 pieces; k edits leave at least one piece whole (pigeonhole), so an automaton
 over all pieces finds every candidate place. Each is verified by Myers'
 bit-parallel edit distance over the window that the item could fill.
+
+An item of fewer than LEAST_CHARS characters is its own only piece, without edits
+and at word bounds. Inside a longer text it says little: such a hit is `weak`.
 """
 
 from __future__ import annotations
@@ -15,18 +18,21 @@ from dataclasses import dataclass
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import regex
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stayscope.llm.batches import bound_batches, keyed_texts
 
 #: One edit is allowed for so many characters.
 EDIT_SHARE = 16
-#: Shorter items say too little inside a text: they must be the whole text.
+#: Shorter items say little inside a text.
 LEAST_CHARS = 20
 #: Items sent to the tasks at once; more of them make more passes over the texts.
 BLOCK_BYTES = 512 << 10
 
 _WORD = re.compile(r"[^\W_]+")
+#: Scripts written without spaces: a word may begin or end at any of their letters.
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 _made: dict[int, "Items"] = {}
 
 
@@ -68,6 +74,12 @@ def distance_in(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     return (best, end) if best <= most else None
 
 
+def _word_bound(text: str, at: int) -> bool:
+    """Does a word of the reduced text begin or end here?"""
+    sides = text[at - 1:at + 1] if at else ""
+    return len(sides) < 2 or " " in sides or bool(_UNSPACED.search(sides))
+
+
 @dataclass
 class Items:
     """Reduced items with their pieces in an automaton."""
@@ -75,15 +87,12 @@ class Items:
     texts: dict[int, str]
 
     def __post_init__(self) -> None:
-        self.whole: dict[str, list[int]] = {}
         self.budget: dict[int, int] = {}
         found: dict[str, list[tuple[int, int]]] = {}
         for item, text in self.texts.items():
-            if len(text) < LEAST_CHARS:
-                if text:
-                    self.whole.setdefault(text, []).append(item)
+            if not text:
                 continue
-            k = self.budget[item] = len(text) // EDIT_SHARE
+            k = self.budget[item] = len(text) // EDIT_SHARE if len(text) >= LEAST_CHARS else 0
             cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 found.setdefault(text[a:b], []).append((item, a))
@@ -95,10 +104,8 @@ class Items:
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, distance, begin, end) in a reduced text: the closest place of each item, the first of equal ones."""
         out: dict[int, tuple[int, int, int]] = {}
-        for item in self.whole.get(text, ()):
-            out[item] = (0, 0, len(text))
         if not self.budget:
-            return [(i, *x) for i, x in sorted(out.items())]
+            return []
         seen: dict[int, set[int]] = {}
         for last, (size, places) in self.automaton.iter(text):
             for item, offset in places:
@@ -109,6 +116,10 @@ class Items:
                     continue
                 seen[item].add(diagonal)
                 pattern = self.texts[item]
+                if len(pattern) < LEAST_CHARS:
+                    if _word_bound(text, diagonal) and _word_bound(text, last + 1):
+                        out[item] = (0, diagonal, last + 1)
+                    continue
                 begin = max(0, diagonal - k)
                 window = text[begin:diagonal + len(pattern) + k]
                 hit = distance_in(pattern, window, k)
@@ -133,8 +144,10 @@ def _raw_span(text: str, begin: int, end: int) -> tuple[int, int]:
     return first or 0, last
 
 
-HITS = "array<struct<item_id: bigint, distance: int, begin: int, end: int>>"
-_HIT = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())]))
+HITS = "array<struct<item_id: bigint, distance: int, begin: int, end: int, weak: boolean>>"
+_HIT = pa.list_(pa.struct([
+    ("item_id", pa.int64()), ("distance", pa.int32()), ("begin", pa.int32()), ("end", pa.int32()), ("weak", pa.bool_()),
+]))
 
 
 def _search(texts: DataFrame, items: dict[int, str]) -> DataFrame:
@@ -149,10 +162,13 @@ def _search(texts: DataFrame, items: dict[int, str]) -> DataFrame:
         for batch in batches:
             hits = []
             for text in batch.column("text").to_pylist():
-                found = known.find(plain(text))
+                reduced = plain(text)
                 hits.append([
-                    {"item_id": i, "distance": d, "begin": a, "end": b}
-                    for i, d, (a, b) in ((i, d, _raw_span(text, a, b)) for i, d, a, b in found)
+                    dict(zip(("begin", "end"), _raw_span(text, a, b))) | {
+                        "item_id": i, "distance": d,
+                        "weak": len(known.texts[i]) < LEAST_CHARS and len(reduced) > len(known.texts[i]),
+                    }
+                    for i, d, a, b in known.find(reduced)
                 ])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(hits, _HIT)],
@@ -186,9 +202,9 @@ def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, text_key and hits (item_id, distance, begin, end in the text) of every text.
+    """doc_id, text_key and hits (item_id, distance, begin, end in the text, weak) of every text.
 
-    Each item is reported at its closest place. A null or empty text has no
+    Each item is reported at its closest place. A hit of an item below LEAST_CHARS is weak unless it is the whole text. A null or empty text has no
     hits; repeated rows are each searched; a null id stays null; other columns
     are left behind. `text_key` is a hash of the text.
 
@@ -214,12 +230,22 @@ def contamination(
     return found
 
 
+def strong(hits: Column) -> Column:
+    """The hits that are not weak."""
+    return F.filter(hits, lambda hit: ~hit["weak"])
+
+
 def digests(found: DataFrame) -> DataFrame:
-    """doc_id, contaminated, n_items, item_ids (ascending) and least_distance of what `contamination` returns."""
-    return found.select(
+    """doc_id, contaminated, n_items, item_ids (ascending) and least_distance of what `contamination` returns.
+
+    These are of the hits that are not weak; n_weak counts the items with weak hits only.
+    """
+    told = found.withColumn("sure", strong(F.col("hits")))
+    return told.select(
         "doc_id",
-        (F.size("hits") > 0).alias("contaminated"),
-        F.size(F.array_distinct("hits.item_id")).cast("bigint").alias("n_items"),
-        F.array_sort(F.array_distinct("hits.item_id")).alias("item_ids"),
-        F.array_min("hits.distance").alias("least_distance"),
+        (F.size("sure") > 0).alias("contaminated"),
+        F.size(F.array_distinct("sure.item_id")).cast("bigint").alias("n_items"),
+        F.array_sort(F.array_distinct("sure.item_id")).alias("item_ids"),
+        F.array_min("sure.distance").alias("least_distance"),
+        F.size(F.array_except("hits.item_id", "sure.item_id")).cast("bigint").alias("n_weak"),
     )

@@ -45,7 +45,7 @@ def test_every_item_within_its_budget_is_found():
         text = plain("xyz " * random.randint(0, 9) + edited(texts[i], random.randint(0, 12)) + " zyx" * random.randint(0, 9))
         want = {k: brute(p, text) for k, p in items.texts.items() if len(p) >= decontaminate.LEAST_CHARS}
         want = {k: d for k, d in want.items() if d <= items.budget[k]}
-        got = {k: d for k, d, _, _ in items.find(text)}
+        got = {k: d for k, d, _, _ in items.find(text) if len(items.texts[k]) >= decontaminate.LEAST_CHARS}
         assert got == want
 
 
@@ -63,7 +63,7 @@ def test_documents(spark, monkeypatch, block_bytes):
         (10, f"Before.\n{ITEM.upper()} After", None, None), (10, f"Before.\n{ITEM.upper()} After", None, None),
         (11, "the quick brown fox jumped over the lazy dog near the river bank at noon", "", ""),
         (12, "the quick brown fox went home", None, None), (13, None, None, None), (14, "", None, None),
-        (None, f"x {ITEM}", None, None), (15, "Short  one!", None, None), (16, "a short one inside", None, None),
+        (None, f"x {ITEM}", None, None), (15, "Short  one!", None, None), (16, "a short one inside", None, None), (18, "a short onerous day", None, None),
         (17, "filler words " * 30000 + ITEM + " completely different words stand in this secnd item here", None, None),
     ]
     found = decontaminate.contamination(spark.createDataFrame(rows, DOCS), items)
@@ -72,11 +72,25 @@ def test_documents(spark, monkeypatch, block_bytes):
     got = {r.doc_id: (r.contaminated, r.n_items, r.item_ids) for r in out}
     clean = (False, 0, [])
     assert got == {10: (True, 2, [1, 6]), 11: (True, 2, [1, 6]), 12: clean, 13: clean, 14: clean, None: (True, 2, [1, 6]),
-                   15: (True, 1, [5]), 16: clean, 17: (True, 3, [1, 2, 6])}
+                   15: (True, 1, [5]), 16: clean, 18: clean, 17: (True, 3, [1, 2, 6])}
+    assert {r.doc_id: r.n_weak for r in out if r.n_weak} == {16: 1}
+    weak = next(r for r in found.collect() if r.doc_id == 16).hits
+    assert [(h.item_id, h.distance, h.begin, h.end, h.weak) for h in weak] == [(5, 0, 2, 11, True)]
     hit = next(r for r in found.collect() if r.doc_id == 10).hits[0]
     assert (hit.item_id, hit.distance, rows[0][1][hit.begin:hit.end]) == (1, 0, ITEM.upper()[:-1])
 
 
+@given(st.text("ab ", min_size=1, max_size=8), st.text("ab ", max_size=40))
+def test_short_items_stand_at_word_bounds(item, text):
+    item, text = plain(item), plain(text)
+    found = Items({1: item}).find(text)
+    assert bool(found) == bool(item and f" {item} " in f" {text} ")
+
+
+def test_short_items_of_scripts_without_spaces():
+    assert Items({1: "水の沸点は何度か"}).find("問い水の沸点は何度か答え") == [(1, 0, 2, 10)]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, ITEM, None, None)], DOCS)
     items = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
