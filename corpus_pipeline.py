@@ -58,9 +58,9 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item stands."""
+    """Documents in which no benchmark item stands; a short item inside a longer text does not count."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.filter(F.size("hits") > 0).select("doc_id", "text_key").distinct()
+    bad = found.filter(F.size(decontaminate.strong(F.col("hits"))) > 0).select("doc_id", "text_key").distinct()
     return _of_rows(docs, bad, "left_anti").select(docs.columns)
 
 
