@@ -484,6 +484,11 @@ union all select 'rule', 'f1', f1 from found""",
 with {ROC}
 select score, tp, fp, round(tp / (select sum(pos) from scores), 6) as tpr,
        round(fp / (select sum(neg) from scores), 6) as fpr from ranked""",
+    "roc_bounded": f"""
+with {ROC}
+select min(score) as score, max(tp) as tp, max(fp) as fp, round(max(tp) / (select sum(pos) from scores), 6) as tpr,
+       round(max(fp) / (select sum(neg) from scores), 6) as fpr
+from ranked group by (tp + fp - 1) * 100 // (select cast(sum(pos + neg) as bigint) from scores)""",
     "auc": f"""
 with {ROC}
 select round(sum(neg * (tp - pos / 2)) / (sum(pos)::double * sum(neg)::double), 6) as auc_roc from ranked""",
@@ -524,3 +529,6 @@ select doc_id, hotel_name, city, review_date, rating, sentiment, region from (
       order by rating desc, city desc, province desc, sentiment desc, region desc, division desc) as n
   from clean) where n = 1""",
 }
+
+# Two loads show what one does.
+ORACLES["board_loads"] = ORACLES["board"]

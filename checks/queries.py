@@ -23,7 +23,7 @@ from stayscope.operators.language import add_language, fit_language_model
 from stayscope.operators.upsert import keep_last_by_key
 from stayscope.operators.vector_index import knn_cells, write_vector_index
 from stayscope.operators.vector_search import knn_topk, recall
-from stayscope.plans.board import board
+from stayscope.plans.board import add_to_board, board, held_board
 from stayscope.plans.materialise import materialise
 from stayscope.plans.search import answer_questions, index_documents, search_documents
 from stayscope.plans.training import SHORT, train
@@ -420,6 +420,11 @@ def roc_points(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.roc(views.scored_events(spark, folder)).withColumns(rates)
 
 
+def roc_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    rates = {name: F.round(name, 6) for name in ("tpr", "fpr")}
+    return metrics.roc_bounded(views.scored_events(spark, folder), points=100).withColumns(rates)
+
+
 def auc(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.auc(views.scored_events(spark, folder)).select(F.round("auc_roc", 6).alias("auc_roc"))
 
@@ -466,7 +471,20 @@ def top_cities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def board_query(spark: SparkSession, folder: str) -> DataFrame:
-    shown = board(views.rated_orders(spark, folder), BOARD_FROM, BOARD_TO)
+    return _bars(board(views.rated_orders(spark, folder), BOARD_FROM, BOARD_TO))
+
+
+def board_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders in two loads, the second one sent twice."""
+    held, rows = shared_folder(spark), views.rated_orders(spark, folder)
+    second = F.month("review_date") % 2 == 0
+    add_to_board(rows.filter(~second), held, "first")
+    for _ in range(2):
+        add_to_board(rows.filter(second), held, "second")
+    return _bars(held_board(spark, held, BOARD_FROM, BOARD_TO))
+
+
+def _bars(shown: dict[str, DataFrame]) -> DataFrame:
     text = {
         "rating_histogram": ("bucket", "count"),
         "region_topn_other": (F.concat_ws("/", "region", "sentiment"), "count"),
@@ -543,6 +561,7 @@ QUERIES = {
     "class_metrics": class_metrics,
     "metrics_unpivot": metrics_unpivot,
     "roc_points": roc_points,
+    "roc_bounded": roc_bounded,
     "auc": auc,
     "sentiment_by_region": sentiment_by_region,
     "sentiment_pivot": sentiment_pivot,
@@ -553,5 +572,6 @@ QUERIES = {
     "positive_share": positive_share,
     "top_cities": top_cities,
     "board": board_query,
+    "board_loads": board_loads,
     "materialised_sets": materialised_sets,
 }

@@ -116,6 +116,31 @@ def roc(
     )
 
 
+def roc_bounded(
+    predictions: DataFrame, label: str = "sentiment", score: str = "score", points: int = 1000, slices: int | None = None
+) -> DataFrame:
+    """The curve of `roc` at no more than `points` of its scores, however many there are.
+
+    The rows, highest score first, are cut into `points` equal parts, and the
+    last score that ends in a part stands for it. From one point to the next it is
+    one score's rows and fewer than 1/points of all. The last point is that of all
+    rows. `auc` stays that of all scores.
+    """
+    if points < 1:
+        raise ValueError("a curve has a point at least")
+    ranked = _ranked_scores(predictions, label, score, slices)
+    part = F.expr(f"((tp + fp - 1) * {int(points)}L) div (p_all + n_all)")
+    rate = lambda count, total: F.when(total > 0, count / total)
+    ends = ranked.groupBy(part.alias("part"), "p_all", "n_all").agg(
+        F.min("score").alias("score"), F.max("tp").alias("tp"), F.max("fp").alias("fp")
+    )
+    return ends.select(
+        "score", "tp", "fp",
+        rate(F.col("tp"), F.col("p_all")).alias("tpr"),
+        rate(F.col("fp"), F.col("n_all")).alias("fpr"),
+    )
+
+
 def auc(
     predictions: DataFrame, label: str = "sentiment", score: str = "score", slices: int | None = None
 ) -> DataFrame:
