@@ -256,6 +256,51 @@ told as (select doc_id, arg_max(lang, score) as detected from scored group by 1)
 select doc_id, coalesce(detected, 'unknown') as detected from documents left join told using (doc_id)"""
 
 
+# Model -1 has learned all folds, model f all but fold f; none has learned Spanish.
+LANGUAGE_REFUSED = f"""
+with bare as (
+  select doc_id, lang, {LETTERS} as b, cast(('0x' || substr(md5(text), 1, 8))::bigint % 4 as integer) as fold
+  from documents),
+characters as (select doc_id, lang, fold, string_split(' ' || b || ' ', '') as c from bare where b <> ''),
+grams as (
+  select doc_id, t, count(*) as n from (
+    select doc_id,
+           unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || ' ' || c[i+1] || ' ' || c[i+2])) as t
+    from characters) group by 1, 2),
+{hashed('grams', 2 ** 18)},
+cells as (select doc_id, slot, sum(n) as n from grams join slots using (t) group by 1, 2),
+sizes as (select doc_id, sum(n) as n from cells group by 1),
+learned as (select doc_id, lang, fold from characters where lang <> 'es'),
+models as (select unnest([-1, 0, 1, 2, 3]) as m),
+texts as (select m, lang, count(*) as n from models join learned on fold <> m group by 1, 2),
+priors as (select m, lang, ln(n + 1) - ln(sum(n) over (partition by m) + count(*) over (partition by m)) as p from texts),
+per_fold as (select lang, fold, slot, sum(n) as n from cells join learned using (doc_id) group by 1, 2, 3),
+per_model as (select m, lang, slot, sum(n) as n from models join per_fold on fold <> m group by 1, 2, 3),
+totals as (select m, lang, ln(sum(n) + {2 ** 18}) as w from per_model group by 1, 2),
+-- A trigram that a model has not seen in a language counts one; the seen ones add to that.
+seen as (select m, lang, slot, ln(n + 1) as w from per_model),
+own as (
+  select l.doc_id, l.lang, sum(c.n * s.w) as w
+  from learned l join cells c using (doc_id) join seen s on s.m = l.fold and s.lang = l.lang and s.slot = c.slot
+  group by 1, 2),
+held as (
+  select l.lang, z.n, coalesce(own.w, 0) - z.n * t.w + p.p as score
+  from learned l join sizes z using (doc_id) join totals t on t.m = l.fold and t.lang = l.lang
+  join priors p on p.m = l.fold and p.lang = l.lang left join own on own.doc_id = l.doc_id),
+averages as (select lang, sum(score) / sum(n) as a from held group by 1),
+bounds as (
+  select lang, a, quantile_disc((score + 20 * a) / (n + 20), 0.005) as bound from held join averages using (lang) group by 1, 2),
+scored as (
+  select c.doc_id, s.lang, sum(c.n * s.w) as w from cells c join seen s on s.m = -1 and s.slot = c.slot group by 1, 2),
+all_scores as (
+  select z.doc_id, z.n, t.lang, coalesce(s.w, 0) - z.n * t.w + p.p as score
+  from sizes z join totals t on t.m = -1 join priors p on p.m = -1 and p.lang = t.lang
+  left join scored s on s.doc_id = z.doc_id and s.lang = t.lang),
+told as (select doc_id, any_value(n) as n, arg_max(lang, score) as lang, max(score) as score from all_scores group by 1)
+select d.doc_id, case when (score + 20 * a) / (n + 20) >= bound then told.lang else 'unknown' end as detected
+from documents d left join told on told.doc_id = d.doc_id left join bounds on bounds.lang = told.lang"""
+
+
 def _category(field: str) -> str:
     return f"""
 {field}_order as (
@@ -397,6 +442,7 @@ select o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate,
     "large_csv_roundtrip": "select * from documents",
     "report_roundtrip": f"with {CHARTS} select region, sentiment, count(*) as count from charted group by 1, 2",
     "language_detect": LANGUAGE,
+    "language_refused": LANGUAGE_REFUSED,
     "reviews_clean_detected": f"with {CLEAN_DETECTED} select * from any_clean where review_full_text in (select text from english)",
     "lr_predict": PREDICTED,
     "rf_predict": PREDICTED,

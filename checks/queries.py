@@ -188,6 +188,13 @@ def language_detect(spark: SparkSession, folder: str) -> DataFrame:
     return add_language(rows.select("doc_id", "text"), model, "text", "detected").drop("text")
 
 
+def language_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents told by a bounded model that has never seen Spanish."""
+    rows = views.documents(spark, folder)
+    model = fit_language_model(rows.filter("lang <> 'es'"), "text", "lang", refuse=0.005)
+    return add_language(rows.select("doc_id", "text"), model, "text", "detected").drop("text")
+
+
 def _long(df: DataFrame, id_col: str, vector_col: str, value: str) -> DataFrame:
     entries = df.select(id_col, F.posexplode(vector_col).alias("dim", value)).filter(F.col(value) != 0)
     return entries.withColumn(value, F.round(F.col(value).cast("double"), 6))
@@ -534,6 +541,7 @@ QUERIES = {
     "large_csv_roundtrip": large_csv_roundtrip,
     "report_roundtrip": report_roundtrip,
     "language_detect": language_detect,
+    "language_refused": language_refused,
     "reviews_clean_detected": reviews_clean_detected,
     "embed_hash": embed_hash,
     "embed_udf": embed_udf,

@@ -22,7 +22,8 @@ def etl(spark, args):
 
 
 def language(spark, args):
-    fit_language_model(spark.read.parquet(args.texts), args.text_col, args.lang_col).save(args.model)
+    refuse = float(args.refuse) if args.refuse else None
+    fit_language_model(spark.read.parquet(args.texts), args.text_col, args.lang_col, refuse=refuse).save(args.model)
 
 
 def vectors(spark, args):
@@ -57,7 +58,7 @@ def charts(spark, args):
 # Job, its required and its optional arguments.
 JOBS = {
     "etl": (etl, ["reviews", "states", "clean"], ["vectors", "language-model"]),
-    "language": (language, ["texts", "text-col", "lang-col", "model"], []),
+    "language": (language, ["texts", "text-col", "lang-col", "model"], ["refuse"]),
     "vectors": (vectors, ["clean", "vectors"], []),
     "documents": (documents, ["vectors", "documents"], ["jdbc-options", "reviews", "states"]),
     "models": (models, ["vectors", "results"], []),

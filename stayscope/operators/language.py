@@ -1,19 +1,22 @@
 """Language of a text, by letter trigrams and naive Bayes.
 
 The model is trained on text whose language is known and then applied as a
-column, without Python rows. `seed_texts` gives a little text in seven
+column, without Python rows. A model with bounds says `unknown` for text that is
+unlike every language it has learned. `seed_texts` gives a little text in seven
 languages for callers who have no labelled text of their own.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stayscope.functions.text import letters
 from stayscope.operators.seed_text import SEED_TEXT
@@ -24,27 +27,34 @@ UNKNOWN = "unknown"
 TRIGRAM_SLOTS = 2 ** 18
 #: Rows that a language's counts are dealt into for the fit.
 PARTS = 64
+#: Trigrams of a language's average that are added to each text before it is held against the bound.
+PAD = 20.0
 
 
 @dataclass
 class LanguageModel:
-    """A fitted trigram model and its languages, in the order of its labels."""
+    """A fitted trigram model and its languages, in the order of its labels.
+
+    `bounds` may hold (average, bound) of a language: what a trigram of its texts
+    adds to the log-likelihood on average, and the least mean a text may have.
+    """
 
     stages: PipelineModel
     languages: list[str]
+    bounds: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     def save(self, folder: str) -> None:
         self.stages.write().overwrite().save(f"{folder}/stages")
         spark = SparkSession.getActiveSession()
-        rows = list(enumerate(self.languages))
-        spark.createDataFrame(rows, "place int, lang string").write.mode("overwrite").parquet(
-            f"{folder}/languages"
-        )
+        rows = [(place, lang, *self.bounds.get(lang, (None, None))) for place, lang in enumerate(self.languages)]
+        kinds = "place int, lang string, average double, bound double"
+        spark.createDataFrame(rows, kinds).write.mode("overwrite").parquet(f"{folder}/languages")
 
     @staticmethod
     def load(spark: SparkSession, folder: str) -> "LanguageModel":
-        rows = spark.read.parquet(f"{folder}/languages").orderBy("place").collect()
-        return LanguageModel(PipelineModel.load(f"{folder}/stages"), [row.lang for row in rows])
+        rows = [row.asDict() for row in spark.read.parquet(f"{folder}/languages").orderBy("place").collect()]
+        bounds = {row["lang"]: (row["average"], row["bound"]) for row in rows if row.get("bound") is not None}
+        return LanguageModel(PipelineModel.load(f"{folder}/stages"), [row["lang"] for row in rows], bounds)
 
 
 def _with_characters(df: DataFrame, text_col: str) -> DataFrame:
@@ -53,15 +63,26 @@ def _with_characters(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def _language_counts(df: DataFrame, text_col: str, lang_col: str, slots: int) -> DataFrame:
-    """lang, slot, n: trigrams per language and slot; the slot -1 counts the texts."""
-    labelled = df.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("lang"))
-    labelled = _with_characters(labelled.na.drop().filter(F.col("_text").rlike(r"\p{L}")), "_text")
-    counted = _word_stages(slots)[1].transform(_word_stages(slots)[0].transform(labelled))
+def _fold(text: Column, folds: int) -> Column:
+    """Where a text is held out: by its hash, so that copies are held out together."""
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(folds)).cast("int")
+
+
+def _labelled(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """_text, lang: the rows that hold letters and a known language."""
+    rows = df.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("lang"))
+    return rows.na.drop().filter(F.col("_text").rlike(r"\p{L}"))
+
+
+def _language_counts(labelled: DataFrame, slots: int, folds: int) -> DataFrame:
+    """lang, fold, slot, n: trigrams per language, fold and slot; the slot -1 counts the texts."""
+    cut = _with_characters(labelled.withColumn("fold", _fold(F.col("_text"), folds)), "_text")
+    counted = _word_stages(slots)[1].transform(_word_stages(slots)[0].transform(cut))
     stored = F.unwrap_udt("_counts")
     entries = F.arrays_zip(stored["indices"].alias("slot"), stored["values"].alias("n"))
     text = F.array(F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("n")))
-    return counted.select("lang", F.inline(F.concat(text, entries))).groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    rows = counted.select("lang", "fold", F.inline(F.concat(text, entries)))
+    return rows.groupBy("lang", "fold", "slot").agg(F.sum("n").alias("n"))
 
 
 def _word_stages(slots: int) -> list:
@@ -72,18 +93,33 @@ def _word_stages(slots: int) -> list:
 
 
 def fit_language_model(
-    df: DataFrame, text_col: str, lang_col: str, slots: int = TRIGRAM_SLOTS
+    df: DataFrame, text_col: str, lang_col: str, slots: int = TRIGRAM_SLOTS,
+    refuse: float | None = None, folds: int = 4,
 ) -> LanguageModel:
-    """Train on rows with a text and a known language; one pass, no shuffle of text.
+    """Train on rows with a text and a known language; no shuffle of text.
 
     Trigrams are counted per language and slot, which spreads over the tasks
     however few the languages are. The counts of a language are then dealt
     into PARTS rows by slot, each weighing its part of the language's texts:
     to the classifier these are the same sums as those over all texts.
+
+    With `refuse`, a small share such as 0.005, the model gets bounds: each text
+    is scored for its own language by a model of the other folds, from the same
+    counts, and about this share of a language's own texts lies below its bound.
+    A language whose texts all lie in one fold has no bound and is never refused.
     """
-    folder = shared_folder(df.sparkSession)
-    write_table(_language_counts(df, text_col, lang_col, slots), folder)
+    labelled, folder = _labelled(df, text_col, lang_col), shared_folder(df.sparkSession)
+    write_table(_language_counts(labelled, slots, 1 if refuse is None else folds), folder)
     counts = df.sparkSession.read.parquet(folder)
+    model = _fit_counts(counts, slots)
+    if refuse is not None:
+        model.bounds = _held_out_bounds(labelled, counts, slots, folds, refuse)
+    return model
+
+
+def _fit_counts(counts: DataFrame, slots: int) -> LanguageModel:
+    """A model of the counts of all folds given."""
+    counts = counts.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     texts = {row.lang: row.n for row in counts.filter("slot = -1").collect()}
     languages = sorted(texts)
     if not languages:
@@ -98,7 +134,7 @@ def fit_language_model(
     )
     vector = F.udf(lambda entries: Vectors.sparse(slots, [(e[0], e[1]) for e in entries]), VectorUDT())
     # A part without trigrams still has its share of the texts.
-    every = df.sparkSession.createDataFrame(
+    every = counts.sparkSession.createDataFrame(
         [(float(place), texts[lang] / PARTS, part) for place, lang in enumerate(languages) for part in range(PARTS)],
         "_label double, _weight double, _part long",
     )
@@ -113,21 +149,76 @@ def fit_language_model(
     return LanguageModel(PipelineModel([*_word_stages(slots), bayes.fit(rows)]), languages)
 
 
+def _likely(df: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
+    """Adds _letters, _place, _log, an array by place, and _n, the trigrams of the text."""
+    *cut, bayes = model.stages.stages
+    scorer = PipelineModel([*cut, bayes.copy().setRawPredictionCol("_raw")])
+    scored = scorer.transform(_with_characters(df, text_col))
+    return scored.withColumns({"_log": vector_to_array("_raw"), "_n": F.size("_trigrams")})
+
+
+def _padded_mean(log: Column, n: Column, average: Column) -> Column:
+    """Mean log-likelihood of a trigram; short texts are drawn towards the average."""
+    return (log + PAD * average) / (n + PAD)
+
+
+def _held_out_bounds(
+    labelled: DataFrame, counts: DataFrame, slots: int, folds: int, refuse: float
+) -> dict[str, tuple[float, float]]:
+    """(average, bound) per language, each text scored by the model of the other folds.
+
+    The quantile is exact up to 100,000 different scores a language and
+    approximate by a hundred-thousandth of the rows beyond.
+    """
+    parts = []
+    for fold in range(folds):
+        others = counts.filter(F.col("fold") != fold)
+        if others.isEmpty():
+            continue
+        model = _fit_counts(others, slots)
+        own = F.array_position(F.array(*[F.lit(x) for x in model.languages]), F.col("lang")) - 1
+        held = _likely(labelled.filter(_fold(F.col("_text"), folds) == fold), model, "_text")
+        parts.append(held.select("lang", "_n", F.get("_log", own.cast("int")).alias("_log")).filter("_log is not null"))
+    if not parts:
+        return {}
+    folder = shared_folder(labelled.sparkSession)
+    write_table(reduce(DataFrame.unionByName, parts), folder)
+    scores = labelled.sparkSession.read.parquet(folder)
+    averages = scores.groupBy("lang").agg((F.sum("_log") / F.sum("_n")).alias("average"))
+    means = scores.join(F.broadcast(averages), "lang").withColumn(
+        "mean", _padded_mean(F.col("_log"), F.col("_n"), F.col("average")))
+    found = means.groupBy("lang", "average").agg(F.percentile_approx("mean", refuse, 100_000).alias("bound"))
+    return {row.lang: (row.average, row.bound) for row in found.collect()}
+
+
 def add_language(
     df: DataFrame, model: LanguageModel, text_col: str, out_col: str = "lang"
 ) -> DataFrame:
     """The text's language code; `unknown` for a text without letters.
 
+    A model with bounds also says `unknown` where the text's mean log-likelihood
+    in the most likely language is below that language's bound.
+
     A filter on the new column stays above it: the optimizer would otherwise
     move the whole model below earlier joins and duplicate removal, and there
     it would read far more rows. The task number, which is never negative,
     keeps it in place, as Spark moves no filter past such a column.
     """
     names = F.array(*[F.lit(name) for name in model.languages])
-    scored = model.stages.transform(_with_characters(df, text_col))
-    told = F.when((F.col("_letters") == " ") | (F.spark_partition_id() < 0), F.lit(UNKNOWN)).otherwise(
-        F.get(names, F.col("_place").cast("int"))
-    )
+    place = F.col("_place").cast("int")
+    unread = (F.col("_letters") == " ") | (F.spark_partition_id() < 0)
+    if model.bounds:
+        scored = _likely(df, model, text_col)
+        none = (0.0, None)  # a null bound refuses nothing
+        average, bound = (
+            F.get(F.array(*[F.lit(model.bounds.get(x, none)[i]).cast("double") for x in model.languages]), place)
+            for i in (0, 1)
+        )
+        mean = _padded_mean(F.get("_log", place), F.col("_n"), average)
+        unread = unread | F.coalesce(mean < bound, F.lit(False))
+    else:
+        scored = model.stages.transform(_with_characters(df, text_col))
+    told = F.when(unread, F.lit(UNKNOWN)).otherwise(F.get(names, place))
     return scored.select([F.col(f"`{c}`") for c in df.columns if c != out_col] + [told.alias(out_col)])
 
 

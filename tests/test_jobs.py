@@ -24,7 +24,8 @@ def base(spark):
 
 def test_jobs_in_order(spark, base, capsys):
     jobs.language(spark, Namespace(
-        texts=f"{SMALL}/documents.parquet", text_col="text", lang_col="lang", model=f"{base}/language"
+        texts=f"{SMALL}/documents.parquet", text_col="text", lang_col="lang", model=f"{base}/language",
+        refuse=None,
     ))
     jobs.etl(spark, Namespace(
         reviews=f"{base}/reviews", states=f"{base}/states", clean=f"{base}/clean", vectors=None,

@@ -101,3 +101,31 @@ def test_seed_model_is_the_same_each_time(spark, seed_model):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("text")
     one = add_language(docs, seed_model, "text")
     assert one.exceptAll(add_language(docs, again, "text")).isEmpty()
+
+
+def test_a_language_never_learned_is_refused(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    train, test = split_by_hash(docs, ["doc_id"])
+    for left_out in ("es", "de"):
+        model = fit_language_model(train.filter(F.col("lang") != left_out), "text", "lang", refuse=0.005)
+        told = add_language(test, model, "text", "told")
+        share = F.avg((F.col("told") == "unknown").cast("int"))
+        assert told.filter(F.col("lang") == left_out).agg(share).first()[0] >= 0.95
+        assert told.filter(F.col("lang") != left_out).agg(share).first()[0] <= 0.03
+        right = told.filter((F.col("lang") != left_out) & (F.col("told") != "unknown"))
+        assert right.agg(F.avg((F.col("told") == F.col("lang")).cast("int"))).first()[0] >= 0.95
+    model.save(str(tmp_path / "model"))
+    loaded = LanguageModel.load(spark, str(tmp_path / "model"))
+    assert loaded.bounds == model.bounds and set(model.bounds) == {"en", "es", "fr"}
+    assert told.exceptAll(add_language(test, loaded, "text", "told")).isEmpty()
+
+
+def test_bounds_with_one_text_and_with_odd_texts(spark):
+    few = spark.createDataFrame(
+        [("en", "only one text of this language"), ("de", "ein Text"), ("de", "noch ein anderer Text hier"), (None, "x")],
+        "lang string, text string")
+    model = fit_language_model(few, "text", "lang", refuse=0.01)
+    assert "en" not in model.bounds  # its one text leaves no other to be scored by
+    odd = spark.createDataFrame([(None,), ("",), ("12 !",), ("a",), ("word " * 20000,)], "text string")
+    told = [r.lang for r in add_language(odd, model, "text").collect()]
+    assert told[:3] == ["unknown"] * 3 and len(told) == 5
