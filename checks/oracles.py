@@ -466,6 +466,7 @@ select id as doc_id, t as term, cast(n as integer) as tf,
        cast(sum(n) over (partition by id) as integer) as doc_len from postings""",
     "bm25_terms": f"with {_word_counts('postings', 'documents', 'doc_id')} select t as term, count(*) as df from postings group by 1",
     "bm25_topk": f"with {BM25} select * from bm25",
+    "bm25_skipping": f"with {BM25} select * from bm25",
     "knn_exact": KNN,
     "knn_lsh": KNN_HASHED,
     "knn_ivf": f"{KNN_TWENTIETH} select query_id, doc_id, round(score, 6) as score, rank from ranked where rank <= 5",

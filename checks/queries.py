@@ -18,6 +18,7 @@ from stayscope.operators.embedding import add_vectors
 from stayscope.operators.features import (
     category_index, category_stages, drop_incomplete, long_vector, split_by_hash, word_stages,
 )
+from stayscope.operators.keyword_blocks import bm25_topk_skipping, write_block_index
 from stayscope.operators.keyword_search import bm25_topk, build_keyword_index, hydrate, write_keyword_index
 from stayscope.operators.language import add_language, fit_language_model
 from stayscope.operators.upsert import keep_last_by_key
@@ -248,6 +249,12 @@ def bm25(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(bm25_topk(_written_index(spark, folder), views.questions(spark, folder)))
 
 
+def bm25_skipping(spark: SparkSession, folder: str) -> DataFrame:
+    """The hits of `bm25_topk` from blocks with bounds; blocks that hold no hit are not scored."""
+    index = write_block_index(views.table(spark, folder, "documents"), "doc_id", "text", shared_folder(spark))
+    return _shown(bm25_topk_skipping(index, views.questions(spark, folder)).hits)
+
+
 def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(knn_topk(
         views.table(spark, folder, "embeddings"), views.class_centres(spark, folder), id_col="vec_id",
@@ -548,6 +555,7 @@ QUERIES = {
     "bm25_index": bm25_index,
     "bm25_terms": bm25_terms,
     "bm25_topk": bm25,
+    "bm25_skipping": bm25_skipping,
     "knn_exact": knn_exact,
     "knn_lsh": knn_lsh_query,
     "knn_ivf": knn_ivf,
