@@ -14,8 +14,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from stayscope.functions.vectors import dot, unit
 from stayscope.operators.keyword_search import top_k
 
-QUESTION_BLOCK = 1024
+#: Every row is copied once per block of questions, so blocks are large; products are made a stripe at a time.
+QUESTION_BLOCK = 8192
 SHARD_ROWS = 16_384
+#: Questions whose products with a shard are held at once.
+STRIPE = 256
 #: Fast products differ from sums in fixed order by less than this.
 PRODUCT_ERROR = 1e-9
 
@@ -62,15 +65,16 @@ def _best_of_cell(k: int, schema: pa.Schema):
         ids = rows.column("_id").to_numpy()[at]
         order = np.argsort(ids, kind="stable")
         at, matrix = at[order], matrix[order]
-        rough = questions @ matrix.T
         depth = min(k, len(at))
-        floor = np.partition(rough, len(at) - depth, axis=1)[:, len(at) - depth] - PRODUCT_ERROR
         found: list[tuple[int, np.ndarray, np.ndarray]] = []
-        for q in range(len(asked_at)):
-            near = np.flatnonzero(rough[q] >= floor[q])
-            exact = (matrix[near] * questions[q]).sum(axis=1)
-            best = np.argsort(-exact, kind="stable")[:depth]
-            found.append((asked_at[q], at[near[best]], exact[best]))
+        for begin in range(0, len(asked_at), STRIPE):
+            rough = questions[begin:begin + STRIPE] @ matrix.T
+            floor = np.partition(rough, len(at) - depth, axis=1)[:, len(at) - depth] - PRODUCT_ERROR
+            for q, products in enumerate(rough, begin):
+                near = np.flatnonzero(products >= floor[q - begin])
+                exact = (matrix[near] * questions[q]).sum(axis=1)
+                best = np.argsort(-exact, kind="stable")[:depth]
+                found.append((asked_at[q], at[near[best]], exact[best]))
         sizes = [len(x[1]) for x in found]
         return pa.table([
             asked.column("_id").take(pa.array(np.repeat([x[0] for x in found], sizes))),
