@@ -5,6 +5,10 @@ tile meets each shard once, through a join on the numbers of tile and group of
 shards. A task multiplies sub-tiles, selects each query's best k of a sub-tile,
 and merges them into the tile's running list; the lists of a tile over a group
 of shards are one row set, and a last merge per query joins the groups.
+
+The cells of tile and group form a grid: every candidate is copied once per
+tile, every query once per group. Tiles are as large as a task may hold, and
+groups, whose shards stream through it, as large as leave work for all tasks.
 """
 
 from __future__ import annotations
@@ -17,10 +21,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stayscope.llm.batches import bound_batches
 
-TILE = 2048
+TILE = 16_384
 SHARD = 8192
-#: Shards whose lists are merged in a task before they are sent on.
-FAN = 16
+#: Shards of a group at most: a task's work stays bounded, and so does what a lost executor costs.
+FAN = 64
+#: Cells asked for per shuffle partition, where there are enough shards.
+WAVES = 4
 #: Queries whose products with a shard are held at once.
 STRIPE = 256
 
@@ -55,10 +61,13 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     spark = candidates.sparkSession
     bound_batches(spark)
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    tiles = _blocks(asked, TILE)
-    shards = _blocks(candidates.select("vec_id", "v"), SHARD).withColumn("fan", F.floor(F.col("block") / FAN).cast("int"))
+    many_tiles, many_shards = _count(asked, TILE), _count(candidates, SHARD)
+    cells_asked = WAVES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fan = max(1, min(FAN, many_shards * many_tiles // cells_asked))
+    many_fans = -(-many_shards // fan)
+    tiles = _blocks(asked, many_tiles)
+    shards = _blocks(candidates.select("vec_id", "v"), many_shards).withColumn("fan", F.floor(F.col("block") / fan).cast("int"))
     # Each tile goes to every group of shards, each shard to every tile: N x tiles + Q x groups rows in all.
-    many_tiles, many_fans = _count(asked, TILE), -(-_count(candidates, SHARD) // FAN)
     left = tiles.select(
         "dim", F.col("block").alias("tile"), F.col("ids").alias("q_ids"), F.col("kind").alias("q_kind"),
         F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(many_fans - 1))).alias("fan"),
@@ -94,12 +103,11 @@ def _count(rows: DataFrame, size: int) -> int:
     return max(1, -(-rows.count() // size))
 
 
-def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows dealt by a hash of their id into blocks of about `size`, each one row in the smallest integer type.
+def _blocks(rows: DataFrame, blocks: int) -> DataFrame:
+    """Rows dealt by a hash of their id into `blocks` blocks, each one row in the smallest integer type.
 
     Copies of one id would meet in one block, so the hash takes the vector as well.
     """
-    blocks = _count(rows, size)
     dealt = rows.select(
         F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v"
     )
@@ -126,10 +134,15 @@ def _matrix(row: pa.RecordBatch, side: str) -> np.ndarray:
     return flat.reshape(len(row.column(f"{side}ids").flatten()), row.column("dim")[0].as_py())
 
 
+def _largest(matrix: np.ndarray) -> float:
+    """The largest absolute component; no copy of the matrix is made."""
+    return max(-float(matrix.min(initial=0)), float(matrix.max(initial=0)))
+
+
 def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """Query numbers, candidate ids and scores of each query's best k in a shard, whose ids ascend."""
     dim = q.shape[1]
-    bound = dim * float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0))
+    bound = dim * _largest(q) * _largest(c)
     if bound >= 2.0**63:
         raise ValueError("scores beyond 64 bits")
     # Products below 2^53 are exact in double, where the fast product is.

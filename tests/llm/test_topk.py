@@ -47,3 +47,13 @@ def test_large_components(spark):
 
 def test_empty_table(spark):
     assert search(spark, [], 5) == []
+
+
+@pytest.mark.parametrize("waves", [1, 4, 1000])
+def test_groups_of_shards_follow_the_tasks_and_change_nothing(spark, monkeypatch, waves):
+    for name, size in (("TILE", 3), ("SHARD", 5), ("FAN", 6), ("WAVES", waves)):
+        monkeypatch.setattr(topk_tiles, name, size)
+    random.seed(8)
+    rows = [(i, [random.choice([-1.0, 0.2, 0.9]) for _ in range(3)], 0) for i in range(130)]
+    rows += [(1000 + i, [0.9, 0.9, 0.9], 0) for i in range(40)] + [rows[0], rows[20]]
+    assert search(spark, rows, 4) == brute(rows, 4)
