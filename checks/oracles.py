@@ -546,6 +546,31 @@ select region, count(*) filter (sentiment = 0) as negative, count(*) filter (sen
 from charted group by 1""",
     "rating_histogram": f"with {CHARTS} {histogram('charted', '0.5')}",
     "region_topn_other": f"with {CHARTS}, {REGIONS.format(n=3)} {REGION_ROWS}",
+    "fitting_histogram": """
+with ends as (select min(l_extendedprice) as low, max(l_extendedprice) as high from lineitem),
+fitting as (
+  select min(m * pow(10.0, e)) as width from range(-6, 12) t(e), (values (1), (2), (5)) as s(m), ends
+  where floor(high / (m * pow(10.0, e))) - floor(low / (m * pow(10.0, e))) + 1 <= 50),
+steps as (
+  select unnest(range(cast(floor(low / width) as bigint), cast(floor(high / width) as bigint) + 1)) as s, width
+  from ends, fitting),
+counted as (select floor(l_extendedprice / width) as s, count(*) as n from lineitem, fitting group by 1)
+select steps.s * width as bucket, coalesce(n, 0) as count from steps left join counted on counted.s = steps.s""",
+    "fitting_periods": """
+with units as (
+  select * from (values ('second', 1, interval 1 second), ('minute', 60, interval 1 minute), ('hour', 3600, interval 1 hour),
+    ('day', 86400, interval 1 day), ('week', 604800, interval 7 day), ('month', 2419200, interval 1 month),
+    ('year', 31536000, interval 1 year)) as u(unit, seconds, stride)),
+ends as (select min(ts) as low, max(ts) as high from events),
+fitting as (
+  select unit, stride, low, high from units, ends
+  where (epoch_us(high) - epoch_us(low)) // 1000000 // seconds + 2 <= 100 order by seconds limit 1),
+periods as (
+  select unnest(generate_series(cast(date_trunc(unit, low) as timestamp), cast(date_trunc(unit, high) as timestamp), stride)) as period
+  from fitting),
+counted as (select cast(date_trunc(unit, ts) as timestamp) as period, count(*) as n from events, fitting group by 1)
+select strftime(periods.period, '%Y-%m-%d %H:%M:%S') as period, coalesce(n, 0) as count
+from periods left join counted on counted.period = periods.period""",
     "reviews_per_month": f"with {CHARTS}, {MONTHS} select * from per_month",
     "events_in_window": """
 select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') as ts from events

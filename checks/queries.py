@@ -455,6 +455,20 @@ def rating_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return charts.rating_histogram(views.rated_orders(spark, folder), 0.5)
 
 
+def fitting_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of all line items, in buckets of the least round width that gives at most 50."""
+    rows = views.table(spark, folder, "lineitem")
+    width = charts.fitting_width(rows, "l_extendedprice", 50)
+    return charts.rating_histogram(rows, width, "l_extendedprice")
+
+
+def fitting_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per period of the shortest unit that gives at most 100."""
+    rows = views.table(spark, folder, "events")
+    counted = charts.reviews_per_period(rows, charts.fitting_unit(rows, "ts", 100), "ts")
+    return counted.withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm:ss"))
+
+
 def region_topn_other(spark: SparkSession, folder: str) -> DataFrame:
     return charts.region_split(views.rated_orders(spark, folder), 3)
 
@@ -582,6 +596,8 @@ QUERIES = {
     "sentiment_by_region": sentiment_by_region,
     "sentiment_pivot": sentiment_pivot,
     "rating_histogram": rating_histogram,
+    "fitting_histogram": fitting_histogram,
+    "fitting_periods": fitting_periods,
     "region_topn_other": region_topn_other,
     "reviews_per_month": reviews_per_month,
     "events_in_window": events_in_window,

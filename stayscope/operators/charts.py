@@ -8,6 +8,7 @@ has been counted before.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -16,6 +17,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 OTHER = "Other"
 #: Empty buckets that one row of a gap is written out to.
 RUN = 10_000
+#: Calendar units with their length in seconds, that of a month and a year rounded down.
+UNITS = {
+    "SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86_400, "WEEK": 604_800, "MONTH": 2_419_200, "YEAR": 31_536_000,
+}
 LABEL_NAMES = {0: "negative", 1: "positive"}
 
 
@@ -58,6 +63,37 @@ def rating_histogram(
     )
 
 
+def fitting_width(df: DataFrame, column: str = "rating", most: int = 50) -> float:
+    """The least of 1, 2 and 5 times a power of ten that gives at most `most` buckets; 1 without values.
+
+    Reads the least and the greatest value. Infinite and NaN values take no part.
+    """
+    value = F.col(column).cast("double")
+    finite = df.filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")))
+    low, high = finite.agg(F.min(value), F.max(value)).first()
+    if most < 2:
+        raise ValueError("at least two buckets")
+    if low is None or low == high:
+        return 1.0
+    power = math.floor(math.log10((high - low) / most)) - 1
+    while True:
+        for width in (1 * 10.0**power, 2 * 10.0**power, 5 * 10.0**power):
+            if math.floor(high / width) - math.floor(low / width) < most:
+                return width
+        power += 1
+
+
+def fitting_unit(df: DataFrame, column: str = "review_date", most: int = 100) -> str:
+    """The shortest unit of `UNITS` with at most `most` periods from the first to the last review; else the longest.
+
+    Periods are counted by the unit's length in `UNITS`, those at both ends included.
+    """
+    at = F.unix_micros(F.to_timestamp_ltz(F.col(column).cast("timestamp")))
+    low, high = df.agg(F.min(at), F.max(at)).first()
+    span = 0 if low is None else (high - low) // 1_000_000
+    return next((unit for unit, seconds in UNITS.items() if span // seconds + 2 <= most), list(UNITS)[-1])
+
+
 def reviews_per_period(
     df: DataFrame, unit: str = "MONTH", column: str = "review_date", weight: str | None = None
 ) -> DataFrame:

@@ -31,9 +31,11 @@ def random_forest(label: str) -> RandomForestClassifier:
 
 CLASSIFIERS = {LOGISTIC_REGRESSION: logistic_regression, RANDOM_FOREST: random_forest}
 
-#: Partitions of a fit. The forest draws its samples by partition, so the model
-#: is a function of the rows and of this number, and of no layout of the data.
+#: Partitions of a fit, at least. The forest draws its samples by partition, so the model
+#: is a function of the rows and of their number of partitions, and of no layout of the data.
 FIT_PARTITIONS = 32
+#: Rows of a partition of a fit; a table of more rows gets more partitions.
+FIT_ROWS = 50_000
 
 
 @dataclass
@@ -50,6 +52,11 @@ def positive_score(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("score", vector_to_array("probability")[1])
 
 
+def _fit_partitions(rows: int) -> int:
+    """How many partitions a fit of so many rows is dealt into."""
+    return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
+
+
 def _dealt(rows: DataFrame, label: str, partitions: int) -> DataFrame:
     """Label and features in an order that depends on their values alone."""
     place = F.xxhash64(F.col(label), F.unwrap_udt("features"))
@@ -75,7 +82,7 @@ def train_and_score(
     category_cols: tuple[str, ...] = ("region", "division"),
     names: tuple[str, ...] = (LOGISTIC_REGRESSION, RANDOM_FOREST),
     keep: tuple[str, ...] = (),
-    fit_partitions: int = FIT_PARTITIONS,
+    fit_partitions: int | None = None,
 ) -> dict[str, Trained]:
     """Fit the features once, then each classifier on the same feature table.
 
@@ -83,8 +90,9 @@ def train_and_score(
     and weights, categories and the feature tables are made from them. Every
     pass of every classifier starts from the written features, so a lost
     executor costs no work on text. For a fit its rows are dealt by a hash of
-    label and features into `fit_partitions` and sorted, so equal rows give
-    equal models in any layout; a large table needs more of them. Predictions are computed once and written
+    label and features into partitions and sorted, so equal rows give
+    equal models in any layout; their number follows from that of the rows, or is
+    `fit_partitions`. Predictions are computed once and written
     too, as every metric and every saved result reads them.
     """
     spark = train.sparkSession
@@ -98,13 +106,15 @@ def train_and_score(
     # The assembler names each of its slots in the column's metadata, which
     # would travel with every task; the classifiers do not need the names.
     bare = F.col("features").alias("features", metadata={})
+    written = {}
     for side in ("train", "test"):
         weighed = weighing.transform(spark.read.parquet(f"{folder}/{side}_counts"))
-        write_table(weighed.select(*keep, label, bare), f"{folder}/{side}")
+        written[side] = write_table(weighed.select(*keep, label, bare), f"{folder}/{side}")
+    parts = fit_partitions or _fit_partitions(written["train"])
     trained = {}
     for name in names:
         target = f"{folder}/{name.lower().replace(' ', '_')}"
-        fitted = CLASSIFIERS[name](label).fit(_dealt(spark.read.parquet(f"{folder}/train"), label, fit_partitions))
+        fitted = CLASSIFIERS[name](label).fit(_dealt(spark.read.parquet(f"{folder}/train"), label, parts))
         classifier = _without_summary(fitted, f"{target}_model")
         scored = positive_score(classifier.transform(spark.read.parquet(f"{folder}/test")))
         write_table(

@@ -35,6 +35,17 @@ def split_by_hash(
     return df.filter(percent < train_percent), df.filter(percent >= train_percent)
 
 
+def split_at_random(df: DataFrame, train_percent: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows by seeded draws of Spark's `randomSplit`.
+
+    The draws go by partition: the sides are the same again only for the same
+    rows in the same layout, and equal rows may part. Use `split_by_hash`
+    where the split must hold.
+    """
+    train, test = df.randomSplit([train_percent / 100, 1 - train_percent / 100], seed)
+    return train, test
+
+
 def word_stages(text_col: str, width: int = WIDTH) -> list:
     """Lower-cased tokens, without English stop words, counted and weighted."""
     return [

@@ -1,7 +1,7 @@
 """The board's charts."""
 
 import statistics
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import plan_of
@@ -135,3 +135,36 @@ def test_charts_of_no_reviews(reviews):
     assert charts.rating_histogram(none).count() == 0
     assert charts.reviews_per_period(none).count() == 0
     assert charts.top_cities(none).count() == 0 and charts.positive_share(none).count() == 0
+
+
+@pytest.mark.parametrize("values, most, width", [
+    ([0.0, 49.0], 50, 1.0), ([0.0, 50.0], 50, 2.0), ([-0.3, 0.3], 10, 0.1), ([1.0, 3e9], 20, 2e8),
+    ([5.0, 5.0], 50, 1.0), ([], 50, 1.0), ([1.0, None, float("inf"), float("nan"), 3.0], 4, 1.0),
+])
+def test_a_fitting_width_is_the_least_round_one(spark, values, most, width):
+    df = spark.createDataFrame([(v,) for v in values], "rating double")
+    assert charts.fitting_width(df, most=most) == pytest.approx(width, rel=1e-12)
+    finite = df.filter("abs(rating) < 1e300 and not isnan(rating)")
+    assert charts.rating_histogram(finite, charts.fitting_width(df, most=most)).count() <= most
+
+
+def test_a_fitting_width_needs_two_buckets(spark):
+    with pytest.raises(ValueError, match="two buckets"):
+        charts.fitting_width(spark.range(3), "id", 1)
+
+
+@pytest.mark.parametrize("span, unit", [
+    (timedelta(0), "SECOND"), (timedelta(seconds=98), "SECOND"), (timedelta(seconds=99), "MINUTE"), (timedelta(days=4), "HOUR"),
+    (timedelta(days=60), "DAY"), (timedelta(days=600), "WEEK"), (timedelta(days=2600), "MONTH"),
+    (timedelta(days=9000), "YEAR"), (timedelta(days=200_000), "YEAR"),
+])
+def test_a_fitting_unit_is_the_shortest_one(spark, span, unit):
+    low = datetime(1900, 5, 5, 23, 59, 59)
+    df = spark.createDataFrame([(low,), (low + span,), (None,)], "review_date timestamp")
+    assert charts.fitting_unit(df) == unit
+    if unit != "YEAR":
+        assert charts.reviews_per_period(df, unit).count() <= 100
+
+
+def test_no_dates_have_a_unit_too(spark):
+    assert charts.fitting_unit(spark.createDataFrame([(None,)], "review_date timestamp")) == "SECOND"

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from checks import views
-from stayscope.operators import metrics
+from stayscope.operators import classifiers, metrics
 from stayscope.operators.classifiers import (
     LOGISTIC_REGRESSION, metrics_table, train_logistic_regression, train_random_forest,
 )
@@ -183,3 +183,8 @@ def test_metrics_of_one_model(spark):
     rows = [{"model": m, "accuracy": 0.5, "precision": 0.5, "recall": 0.5, "f1": 0.5, "auc_roc": None} for m in ("a", "b")]
     assert [r.model for r in metrics.of_model(metrics_table(spark, rows), "b").collect()] == ["b"]
     assert metrics.of_model(metrics_table(spark, rows), "c").isEmpty()
+
+
+def test_partitions_of_a_fit_follow_from_the_rows():
+    at = {rows: classifiers._fit_partitions(rows) for rows in (0, 1_600_000, 1_600_001, 10**9)}
+    assert at == {0: 32, 1_600_000: 32, 1_600_001: 33, 10**9: 20_000}

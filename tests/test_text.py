@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stayscope.functions.keys import doc_key, iso_date, nan_to_null
 from stayscope.functions.text import is_blank, letters, term_counts, words
-from stayscope.operators.features import split_by_hash
+from stayscope.operators.features import split_at_random, split_by_hash
 from stayscope.operators.language import (
     LanguageModel, add_language, default_language_model, fit_language_model,
 )
@@ -129,3 +129,13 @@ def test_bounds_with_one_text_and_with_odd_texts(spark):
     odd = spark.createDataFrame([(None,), ("",), ("12 !",), ("a",), ("word " * 20000,)], "text string")
     told = [r.lang for r in add_language(odd, model, "text").collect()]
     assert told[:3] == ["unknown"] * 3 and len(told) == 5
+
+
+def test_a_random_split_parts_all_rows_and_repeats_itself(spark):
+    df = spark.range(2000, numPartitions=3)
+    train, test = split_at_random(df, 70, seed=5)
+    sides = [{r.id for r in side.collect()} for side in (train, test)]
+    assert not sides[0] & sides[1] and sides[0] | sides[1] == set(range(2000))
+    assert 1300 < len(sides[0]) < 1500
+    assert {r.id for r in split_at_random(df, 70, seed=5)[0].collect()} == sides[0]
+    assert {r.id for r in split_at_random(df, 70, seed=6)[0].collect()} != sides[0]
