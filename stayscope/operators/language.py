@@ -1,20 +1,24 @@
 """Language of a text, by letter trigrams and naive Bayes.
 
 The model is trained on text whose language is known and then applied as a
-column, without Python rows. A model with bounds says `unknown` for text that is
+column. Tasks cut batches of texts into trigrams as arrays of numbers; the slots
+are those of `HashingTF`, so stored models stay as they are. A model with bounds says `unknown` for text that is
 unlike every language it has learned. `seed_texts` gives a little text in seven
 languages for callers who have no labelled text of their own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import HashingTF, NGram
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -29,6 +33,8 @@ TRIGRAM_SLOTS = 2 ** 18
 PARTS = 64
 #: Trigrams of a language's average that are added to each text before it is held against the bound.
 PAD = 20.0
+#: Letters that are cut into trigrams at once.
+SLICE_LETTERS = 1 << 20
 
 
 @dataclass
@@ -57,10 +63,66 @@ class LanguageModel:
         return LanguageModel(PipelineModel.load(f"{folder}/stages"), [row["lang"] for row in rows], bounds)
 
 
-def _with_characters(df: DataFrame, text_col: str) -> DataFrame:
-    return df.withColumn("_letters", letters(F.col(text_col))).withColumn(
-        "_characters", F.split("_letters", "")
-    )
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint32(by)) | (x >> np.uint32(32 - by))
+
+
+def _murmur(rows: np.ndarray) -> np.ndarray:
+    """MurmurHash3 (32 bit, seed 42) of rows of bytes, as signed numbers."""
+    n, length = rows.shape
+    c1, c2 = np.uint32(0xCC9E2D51), np.uint32(0x1B873593)
+
+    def mixed(k: np.ndarray) -> np.ndarray:
+        return _rotated(k * c1, 15) * c2
+
+    h, whole = np.full(n, 42, dtype=np.uint32), length - length % 4
+    blocks = np.ascontiguousarray(rows[:, :whole]).view("<u4")
+    for i in range(whole // 4):
+        h = _rotated(h ^ mixed(blocks[:, i]), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    tail = np.zeros(n, dtype=np.uint32)
+    for i in range(whole, length):
+        tail |= rows[:, i].astype(np.uint32) << np.uint32(8 * (i - whole))
+    h ^= mixed(tail)
+    h ^= np.uint32(length)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (h ^ (h >> np.uint32(16))).view(np.int32)
+
+
+def _slots_of(trigrams: np.ndarray, slots: int) -> np.ndarray:
+    """The slot of each trigram, given as three times 21 bits: that of `HashingTF` for its letters with blanks between."""
+    mask = (1 << 21) - 1
+    pieces = [f"{chr(t >> 42)} {chr(t >> 21 & mask)} {chr(t & mask)}".encode() for t in trigrams.tolist()]
+    lengths, out = np.array([len(p) for p in pieces], dtype=np.int64), np.empty(len(pieces), dtype=np.int64)
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        rows = np.frombuffer(b"".join(pieces[i] for i in at), dtype=np.uint8).reshape(len(at), length)
+        out[at] = _murmur(rows).astype(np.int64) % slots
+    return out
+
+
+def _slices(texts: list[str]) -> Iterator[slice]:
+    """Runs of texts of about SLICE_LETTERS letters."""
+    begin, held = 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > SLICE_LETTERS:
+            yield slice(begin, i)
+            begin, held = i, 0
+        held += len(text)
+    if texts:
+        yield slice(begin, len(texts))
+
+
+def _cut(texts: list[str], slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each trigram of the texts the number of its text, and its slot."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    if len(codes) < 3:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    inside = of[2:] == of[:-2]
+    trigrams = ((codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:])[inside]
+    known, place = np.unique(trigrams, return_inverse=True)
+    return of[:-2][inside], _slots_of(known, slots)[place]
 
 
 def _fold(text: Column, folds: int) -> Column:
@@ -76,13 +138,28 @@ def _labelled(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def _language_counts(labelled: DataFrame, slots: int, folds: int) -> DataFrame:
     """lang, fold, slot, n: trigrams per language, fold and slot; the slot -1 counts the texts."""
-    cut = _with_characters(labelled.withColumn("fold", _fold(F.col("_text"), folds)), "_text")
-    counted = _word_stages(slots)[1].transform(_word_stages(slots)[0].transform(cut))
-    stored = F.unwrap_udt("_counts")
-    entries = F.arrays_zip(stored["indices"].alias("slot"), stored["values"].alias("n"))
-    text = F.array(F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("n")))
-    rows = counted.select("lang", "fold", F.inline(F.concat(text, entries)))
-    return rows.groupBy("lang", "fold", "slot").agg(F.sum("n").alias("n"))
+    rows = labelled.select(
+        "lang", _fold(F.col("_text"), folds).alias("fold"), letters(F.col("_text")).alias("_letters"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_letters").to_pylist()
+            keys = np.array([f"{fold} {lang}" for lang, fold in zip(*(batch.column(c).to_pylist() for c in ("lang", "fold")))])
+            for part in _slices(texts):
+                named, key = np.unique(keys[part], return_inverse=True)
+                of, slot = _cut(texts[part], slots)
+                # The slot -1 comes first.
+                counted = np.concatenate([key * (slots + 1), key[of] * (slots + 1) + slot + 1])
+                cell, n = np.unique(counted, return_counts=True)
+                fold, lang = zip(*(name.split(" ", 1) for name in named.tolist()))
+                at = cell // (slots + 1)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(lang, pa.string()).take(pa.array(at)), pa.array([int(f) for f in fold], pa.int32()).take(pa.array(at)),
+                    pa.array(cell % (slots + 1) - 1, pa.int32()), pa.array(n.astype(np.float64)),
+                ], names=["lang", "fold", "slot", "n"])
+
+    counted = rows.mapInArrow(run, "lang string, fold int, slot int, n double")
+    return counted.groupBy("lang", "fold", "slot").agg(F.sum("n").alias("n"))
 
 
 def _word_stages(slots: int) -> list:
@@ -151,10 +228,26 @@ def _fit_counts(counts: DataFrame, slots: int) -> LanguageModel:
 
 def _likely(df: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
     """Adds _letters, _place, _log, an array by place, and _n, the trigrams of the text."""
-    *cut, bayes = model.stages.stages
-    scorer = PipelineModel([*cut, bayes.copy().setRawPredictionCol("_raw")])
-    scored = scorer.transform(_with_characters(df, text_col))
-    return scored.withColumns({"_log": vector_to_array("_raw"), "_n": F.size("_trigrams")})
+    bayes = model.stages.stages[-1]
+    priors, weights = bayes.pi.toArray(), np.ascontiguousarray(bayes.theta.toArray())
+    sent = df.sparkSession.sparkContext.broadcast((priors, weights))
+
+    def score(letter_batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        start, held = sent.value
+        for batch in letter_batches:
+            logs, sizes, texts = [], [], batch.tolist()
+            for part in _slices(texts):
+                many = part.stop - part.start
+                of, slot = _cut(texts[part], held.shape[1])
+                sums = [np.bincount(of, of_lang[slot], many) + p for of_lang, p in zip(held, start)]
+                logs.extend(np.stack(sums, axis=1))
+                sizes.append(np.bincount(of, minlength=many))
+            best = [int(log.argmax()) for log in logs]
+            yield pd.DataFrame({"_log": logs, "_n": np.concatenate(sizes or [[]]).astype(np.int32), "_place": np.array(best, dtype=np.float64)})
+
+    told = F.pandas_udf(score, "_log array<double>, _n int, _place double")
+    scored = df.withColumn("_letters", letters(F.col(text_col))).withColumn("_told", told("_letters"))
+    return scored.select("*", "_told._log", "_told._n", "_told._place").drop("_told")
 
 
 def _padded_mean(log: Column, n: Column, average: Column) -> Column:
@@ -207,8 +300,8 @@ def add_language(
     names = F.array(*[F.lit(name) for name in model.languages])
     place = F.col("_place").cast("int")
     unread = (F.col("_letters") == " ") | (F.spark_partition_id() < 0)
+    scored = _likely(df, model, text_col)
     if model.bounds:
-        scored = _likely(df, model, text_col)
         none = (0.0, None)  # a null bound refuses nothing
         average, bound = (
             F.get(F.array(*[F.lit(model.bounds.get(x, none)[i]).cast("double") for x in model.languages]), place)
@@ -216,8 +309,6 @@ def add_language(
         )
         mean = _padded_mean(F.get("_log", place), F.col("_n"), average)
         unread = unread | F.coalesce(mean < bound, F.lit(False))
-    else:
-        scored = model.stages.transform(_with_characters(df, text_col))
     told = F.when(unread, F.lit(UNKNOWN)).otherwise(F.get(names, place))
     return scored.select([F.col(f"`{c}`") for c in df.columns if c != out_col] + [told.alias(out_col)])
 

@@ -139,3 +139,19 @@ def test_a_random_split_parts_all_rows_and_repeats_itself(spark):
     assert 1300 < len(sides[0]) < 1500
     assert {r.id for r in split_at_random(df, 70, seed=5)[0].collect()} == sides[0]
     assert {r.id for r in split_at_random(df, 70, seed=6)[0].collect()} != sides[0]
+
+
+def test_trigrams_have_the_slots_of_the_stored_stages(spark):
+    """Counted in arrays, a trigram falls where the model's own stages put it, whatever its letters' bytes."""
+    from stayscope.operators import language
+
+    texts = [" clean room ", " größe naïve ", " \u6e05\u6d01 \U00020000\U00020001 ", " ", " a ", " ab ab ab "]
+    rows = spark.createDataFrame([(i, list(t)) for i, t in enumerate(texts)], "i int, _characters array<string>")
+    for stage in language._word_stages(1 << 18):
+        rows = stage.transform(rows)
+    wanted = {r.i: {int(s): n for s, n in zip(r._counts.indices, r._counts.values)} for r in rows.collect()}
+    of, slot = language._cut(texts, 1 << 18)
+    found = {i: {} for i in range(len(texts))}
+    for i, s in zip(of.tolist(), slot.tolist()):
+        found[i][s] = found[i].get(s, 0) + 1
+    assert found == wanted
