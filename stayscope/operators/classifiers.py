@@ -36,6 +36,8 @@ CLASSIFIERS = {LOGISTIC_REGRESSION: logistic_regression, RANDOM_FOREST: random_f
 FIT_PARTITIONS = 32
 #: Rows of a partition of a fit; a table of more rows gets more partitions.
 FIT_ROWS = 50_000
+#: A forest's fit keeps a bin of four bytes for every feature of every row, zeros too; so much of it is one partition.
+FOREST_BYTES = 512 << 20
 
 
 @dataclass
@@ -57,6 +59,11 @@ def _fit_partitions(rows: int) -> int:
     return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
 
 
+def _forest_partitions(rows: int, features: int) -> int:
+    """How many partitions a forest's fit takes, so that a task reads at most about FOREST_BYTES of bins."""
+    return max(_fit_partitions(rows), -(-4 * rows * features // FOREST_BYTES))
+
+
 def _dealt(rows: DataFrame, label: str, partitions: int) -> DataFrame:
     """Label and features in an order that depends on their values alone."""
     place = F.xxhash64(F.col(label), F.unwrap_udt("features"))
@@ -91,8 +98,8 @@ def train_and_score(
     pass of every classifier starts from the written features, so a lost
     executor costs no work on text. For a fit its rows are dealt by a hash of
     label and features into partitions and sorted, so equal rows give
-    equal models in any layout; their number follows from that of the rows, or is
-    `fit_partitions`. Predictions are computed once and written
+    equal models in any layout; their number follows from that of the rows (and
+    features, for the forest), or is `fit_partitions`. Predictions are computed once and written
     too, as every metric and every saved result reads them.
     """
     spark = train.sparkSession
@@ -110,11 +117,14 @@ def train_and_score(
     for side in ("train", "test"):
         weighed = weighing.transform(spark.read.parquet(f"{folder}/{side}_counts"))
         written[side] = write_table(weighed.select(*keep, label, bare), f"{folder}/{side}")
-    parts = fit_partitions or _fit_partitions(written["train"])
+    first = spark.read.parquet(f"{folder}/train").select("features").first()
+    parts = dict.fromkeys(names, fit_partitions or _fit_partitions(written["train"]))
+    if RANDOM_FOREST in names and first and not fit_partitions:
+        parts[RANDOM_FOREST] = _forest_partitions(written["train"], first.features.size)
     trained = {}
     for name in names:
         target = f"{folder}/{name.lower().replace(' ', '_')}"
-        fitted = CLASSIFIERS[name](label).fit(_dealt(spark.read.parquet(f"{folder}/train"), label, parts))
+        fitted = CLASSIFIERS[name](label).fit(_dealt(spark.read.parquet(f"{folder}/train"), label, parts[name]))
         classifier = _without_summary(fitted, f"{target}_model")
         scored = positive_score(classifier.transform(spark.read.parquet(f"{folder}/test")))
         write_table(

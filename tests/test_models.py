@@ -188,3 +188,11 @@ def test_metrics_of_one_model(spark):
 def test_partitions_of_a_fit_follow_from_the_rows():
     at = {rows: classifiers._fit_partitions(rows) for rows in (0, 1_600_000, 1_600_001, 10**9)}
     assert at == {0: 32, 1_600_000: 32, 1_600_001: 33, 10**9: 20_000}
+
+
+def test_bins_of_a_forest_bound_its_partitions():
+    """A row of 33,000 features takes 132 kB of bins: 30,000 rows of a partition were 4 GB in one task."""
+    for rows in (3_000, 200_000, 1_200_000):
+        parts = classifiers._forest_partitions(rows, 33_000)
+        assert 4 * 33_000 * rows / parts <= 513 << 20 and parts >= classifiers._fit_partitions(rows)
+    assert classifiers._forest_partitions(3_000, 33_000) == classifiers.FIT_PARTITIONS
