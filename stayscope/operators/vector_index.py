@@ -33,6 +33,10 @@ SAMPLE_ROWS = 200_000
 #: The centres go to every task, as do the questions of one block.
 CENTRE_BYTES = 64 << 20
 BLOCK_BYTES = 64 << 20
+#: Questions of a block times cells: each task is told which question asks which cell.
+BLOCK_CELLS = 8 << 20
+#: Candidates that a task holds; beyond, it drops what later bounds rule out and hands on the rest.
+HELD_CANDIDATES = 1 << 20
 #: Of the cells, the share that a question asks: enough for vectors nearly unrelated to each other. Others need less.
 SHARE = 0.6
 #: Rows and questions whose rough scores are held at once.
@@ -156,6 +160,7 @@ class _Kept:
         self.block = block
         self.lower = np.full((len(block.questions), block.k), -np.inf, dtype=np.float32)
         self.found: list[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]] = []
+        self.held = 0
 
     def add(self, cell: int, ids: pa.Array, codes: np.ndarray, scale: np.ndarray, error: np.ndarray) -> None:
         asked = self.block.asked[cell]
@@ -169,7 +174,8 @@ class _Kept:
             self.lower[who] = np.partition(both, both.shape[1] - self.block.k, axis=1)[:, -self.block.k:]
             q, row = np.nonzero(high >= self.lower[who].min(axis=1)[:, None])
             if len(q):
-                self.found.append((who[q], ids.take(pa.array(row)), low[q, row], high[q, row]))
+                self.found.append((who[q].astype(np.int32), ids.take(pa.array(row)), low[q, row], high[q, row]))
+                self.held += len(q)
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         floor = self.lower.min(axis=1)
@@ -180,6 +186,7 @@ class _Kept:
                     [pa.array(question[stays], pa.int32()), ids.take(pa.array(stays)), pa.array(low[stays]), pa.array(high[stays])],
                     schema=schema,
                 )
+        self.found, self.held = [], 0
 
 
 def _candidates(cells: DataFrame, block: _Block) -> DataFrame:
@@ -212,6 +219,8 @@ def _candidates(cells: DataFrame, block: _Block) -> DataFrame:
                     codes = np.frombuffer(b"".join(run_of.column("code").to_pylist()), dtype=np.int8)
                     kept.add(int(cell[begin]), run_of.column("doc_id"), codes.reshape(end - begin, -1).astype(np.float32),
                              run_of.column("scale").to_numpy(), run_of.column("error").to_numpy())
+                    if kept.held > HELD_CANDIDATES:
+                        yield from kept.batches(arrow)
         yield from kept.batches(arrow)
 
     named = cells.filter(F.col("cell").isin(sorted(block.asked)))
@@ -234,16 +243,17 @@ def _probes(share: float, cells: int) -> int:
     return min(cells, max(1, ceil(share * cells)))
 
 
-def _blocks(questions: DataFrame, dims: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Ids and unit vectors of the questions that point somewhere, at most BLOCK_BYTES at a time."""
+def _blocks(questions: DataFrame, dims: int, cells: int = 1) -> Iterator[tuple[list, np.ndarray]]:
+    """Ids and unit vectors of the questions that point somewhere, at most BLOCK_BYTES and BLOCK_CELLS at a time."""
     ids, vectors = [], []
+    most = max(1, min(BLOCK_BYTES // (8 * dims), BLOCK_CELLS // cells))
     for row in questions.filter(_pointing(F.col("_v"))).toLocalIterator():
         if len(row._v) != dims:
             raise ValueError("questions and rows have vectors of different length")
         vector = np.array(row._v)
         ids.append(row.query_id)
         vectors.append(vector / np.sqrt((vector * vector).sum()))
-        if len(ids) * dims * 8 >= BLOCK_BYTES:
+        if len(ids) >= most:
             yield ids, np.array(vectors)
             ids, vectors = [], []
     if ids:
@@ -280,7 +290,7 @@ def knn_cells(
     kind = T.StructType([T.StructField("question", T.IntegerType()), asked.schema["query_id"],
                          T.StructField("_q", T.ArrayType(T.DoubleType()))])
     out = []
-    for ids, matrix in _blocks(asked, centres.shape[1]):
+    for ids, matrix in _blocks(asked, centres.shape[1], len(cells)):
         names = spark.createDataFrame([(i, x, v) for i, (x, v) in enumerate(zip(ids, matrix.tolist()))], kind)
         near = matrix @ centres.T
         chosen = np.zeros(near.shape, dtype=bool)
@@ -290,7 +300,7 @@ def knn_cells(
         def pass_over(which: np.ndarray) -> DataFrame:
             columns = [j for j in range(len(cells)) if which[:, j].any()]
             block = _Block(matrix.astype(np.float32), {int(cells[j]): centres[j].astype(np.float32) for j in columns},
-                           {int(cells[j]): np.flatnonzero(which[:, j]) for j in columns}, k)
+                           {int(cells[j]): np.flatnonzero(which[:, j]).astype(np.int32) for j in columns}, k)
             return _best(index, block, names, k)
 
         hits = pass_over(chosen)

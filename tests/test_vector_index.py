@@ -95,3 +95,14 @@ def test_recall_of_the_given_vectors_at_the_query_s_settings(spark):
     exact = knn_topk(vectors, asked, id_col="vec_id")
     assert recall(knn_cells(index, asked), exact).first().recall >= 0.9
     assert rows_read(index, asked).agg(F.avg("rows")).first()[0] < 0.7 * vectors.count()
+
+
+def test_many_cells_and_candidates_are_held_in_bounded_parts(spark, space, monkeypatch):
+    """Questions times cells bound a block, and a task hands candidates on before it holds too many."""
+    vectors, asked, index = space
+    monkeypatch.setattr(vector_index, "BLOCK_CELLS", 2 * index.centres.count())
+    monkeypatch.setattr(vector_index, "HELD_CANDIDATES", 10)
+    pointed = asked.select("query_id", F.col("embedding").alias("_v"))
+    sizes = [len(ids) for ids, _ in vector_index._blocks(pointed, 16, index.centres.count())]
+    assert sizes == [2, 2, 2, 2, 1]
+    assert hits(knn_cells(index, asked, 5, 1.0)) == hits(knn_topk(vectors, asked, 5))
