@@ -32,6 +32,8 @@ from stayscope.llm.library_bpe import library_of
 SEGMENT_TOKENS = 1 << 18
 WIDTH = 8
 BLOCK = 512
+#: Texts encoded at once in a task, beside a sort that fills the executor's heap.
+SLICE_BYTES = 1 << 18
 
 LEVELS = pa.list_(pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
 SEGMENTS = pa.schema([
@@ -115,7 +117,7 @@ def write_store(
         encode, special, known = library_of(content.value)
         part, segment, held = TaskContext.get().partitionId(), 0, []
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE_BYTES):
                 ids, bounds = known.encode_column(piece.column("text"), encode, special)
                 # The end id goes in behind each text.
                 ids = np.insert(ids, bounds[1:], end_id)
@@ -160,28 +162,44 @@ def directory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each segment: the texts' ids, their places among all token ids, their bounds within the segment, the token ids."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            ids = unpack(row.column("levels")[0].as_py()).astype(np.int32)
+            ends = np.concatenate(([0], np.cumsum(row.column("sizes").flatten().to_numpy())))
+            yield row.column("doc_ids").flatten(), row.column("start")[0].as_py() + ends[:-1], ends, ids
+
+
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_ids, sizes, levels and start of every segment."""
+    segments = spark.read.schema(SEGMENTS_DDL).parquet(folder).drop("n_tokens")
+    placed = segments.join(directory(spark, folder).drop("n_tokens"), ["part", "segment"])
+    return placed.select("doc_ids", "sizes", "levels", "start")
+
+
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start and ids (array of int, with the end id) of every text in the files."""
     bound_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                ids = unpack(row.column("levels")[0].as_py()).astype(np.int32)
-                sizes = row.column("sizes").flatten().to_numpy()
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                start = row.column("start")[0].as_py() + ends[:-1]
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [row.column("doc_ids").flatten(), pa.array(start, pa.int64()), lists], names=["doc_id", "start", "ids"]
-                )
+        for doc_ids, start, ends, ids in _texts_of(batches):
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(start, pa.int64()), lists], names=["doc_id", "start", "ids"])
 
-    segments = spark.read.schema(SEGMENTS_DDL).parquet(folder).drop("n_tokens")
-    placed = segments.join(directory(spark, folder).drop("n_tokens"), ["part", "segment"])
-    return placed.select("doc_ids", "sizes", "levels", "start").mapInArrow(
-        run, "doc_id bigint, start bigint, ids array<int>"
-    )
+    return _placed(spark, folder).mapInArrow(run, "doc_id bigint, start bigint, ids array<int>")
+
+
+def read_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """`digests` of `read_store`, in the worker that reads a segment: no second worker beside it is sent the ids."""
+    bound_batches(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, start, ends, ids in _texts_of(batches):
+            yield _digested(doc_ids, pa.array(start, pa.int64()), ends, ids)
+
+    return _placed(spark, folder).mapInArrow(run, DIGESTS_DDL)
 
 
 def tokens_at(spark: SparkSession, folder: str, places: DataFrame, place_col: str = "place") -> DataFrame:
@@ -216,18 +234,24 @@ def tokens_at(spark: SparkSession, folder: str, places: DataFrame, place_col: st
     )
 
 
+DIGESTS_DDL = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+
+
+def _digested(doc_ids: pa.Array, start: pa.Array, bounds: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    values = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
+    sums = [zlib.crc32(values[4 * a:4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return pa.RecordBatch.from_arrays(
+        [doc_ids, start, pa.array(np.diff(bounds), pa.int64()), pa.array(sums, pa.int64())],
+        names=["doc_id", "start", "n_tokens", "ids_crc32"],
+    )
+
+
 def digests(stored: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 (over little-endian unsigned 32-bit ids) of what `read_store` returns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("ids")
-            bounds = lists.offsets.to_numpy()
-            values = memoryview(np.ascontiguousarray(lists.values.to_numpy(), dtype="<u4")).cast("B")
-            sums = [zlib.crc32(values[4 * a:4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(bounds), pa.int64()),
-                 pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
-            )
-
-    return stored.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+            yield _digested(batch.column("doc_id"), batch.column("start"), lists.offsets.to_numpy(), lists.values.to_numpy())
+
+    return stored.mapInArrow(run, DIGESTS_DDL)

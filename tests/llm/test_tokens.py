@@ -97,3 +97,14 @@ def test_whole_small_table(spark, ids_of):
     token_store.write_store(docs, PATH, folder)
     stored = {r.doc_id: r.ids for r in token_store.read_store(spark, folder).collect()}
     assert stored == {i: [*ids, 0] for i, ids in want.items()}
+
+
+def test_digests_are_read_by_one_worker_a_task(spark, tmp_path):
+    """The digests of what is read, without a second Python step beside the reading one."""
+    docs = spark.createDataFrame([(3, "a b c"), (1, None), (2, "größe " * 50), (None, "x")], "doc_id bigint, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    token_store.write_store(docs.repartition(3), path, str(tmp_path / "ids"))
+    found = token_store.read_digests(spark, str(tmp_path / "ids"))
+    wanted = token_store.digests(token_store.read_store(spark, str(tmp_path / "ids")))
+    assert sorted(found.collect(), key=str) == sorted(wanted.collect(), key=str) and found.count() == 4
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
