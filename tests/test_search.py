@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -328,3 +329,14 @@ def test_questions_need_the_encoder_of_the_rows(spark, docs, asked, tmp_path):
 
 def test_words_agree_between_index_and_questions(docs):
     assert docs.select(F.explode(words(F.col("text")))).distinct().count() > 5
+
+
+def test_a_posting_travels_once_however_many_questions_ask_it(spark, docs):
+    """The postings are dealt by document without a question's id; the join with questions used to multiply them."""
+    many = spark.createDataFrame([(q, "clean room bar the") for q in range(300)], "query_id bigint, text string")
+    hits = bm25_topk(build_keyword_index(docs, "doc_id", "text"), many, 2)
+    plan = plan_of(hits)
+    assert re.search(r"hashpartitioning\(doc_id#", plan)
+    assert not re.search(r"hashpartitioning\(query_id#\d+L?, doc_id#", plan)
+    found = as_dict(hits)
+    assert len(found) == 600 and len({found[q, doc] for q, doc in found if doc == 1}) <= 1
